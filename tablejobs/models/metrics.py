@@ -18,21 +18,35 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total)
 
 
+def _computed(result: DataFrame, kept: DataFrame) -> DataFrame:
+    """A one-row result as data, so that what it was computed from can be released."""
+    try:
+        return result.sparkSession.createDataFrame([result.first()], result.schema)
+    finally:
+        kept.unpersist()
+
+
 def evaluate_regression(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: mean and median absolute error, mean squared error and R²."""
+    """One row: mean and median absolute error, mean squared error and R².
+
+    Computed at once, over two kept columns, so that the predictions are made only once.
+    """
     error = F.col(label) - F.col(prediction)
-    rows = df.select(F.col(label).alias("y"), error.alias("e"), F.abs(error).alias("a"))
+    rows = df.select(F.col(label).alias("y"), error.alias("e")).withColumn("a", F.abs("e")).persist()
     sums = rows.agg(
         F.avg("a").alias("mean_absolute_error"),
         F.avg(F.col("e") * F.col("e")).alias("mean_squared_error"),
         F.var_pop("y").alias("v"),
     )
     median = exact_quantiles(rows, [], "a", [0.5], ["m"]).scalar()
-    return sums.select(
-        "mean_absolute_error",
-        median.alias("median_absolute_error"),
-        "mean_squared_error",
-        (1 - F.try_divide("mean_squared_error", "v")).alias("r2_score"),
+    return _computed(
+        sums.select(
+            "mean_absolute_error",
+            median.alias("median_absolute_error"),
+            "mean_squared_error",
+            (1 - F.try_divide("mean_squared_error", "v")).alias("r2_score"),
+        ),
+        rows,
     )
 
 
@@ -43,9 +57,10 @@ def _decided(score: str, threshold: float) -> Column:
 def evaluate_classification(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """One row: precision, recall, accuracy, F1, log loss and area under the ROC curve. ``score`` is the share of class 1.
 
-    The area is exact: with ``numBins=0`` MLlib sorts the distinct scores over all tasks instead of binning them.
+    The area is exact: with ``numBins=0`` MLlib sorts the distinct scores over all tasks instead of binning them. Computed at
+    once, over two kept columns, so that the scores are made only once.
     """
-    rows = df.select(F.col(label).cast("double").alias("y"), F.col(score).cast("double").alias("p"))
+    rows = df.select(F.col(label).cast("double").alias("y"), F.col(score).cast("double").alias("p")).persist()
     area = BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y", numBins=0).evaluate(rows)
     yes, said = F.col("y") == 1, F.col("p") >= threshold
     safe = F.least(F.greatest(F.col("p"), F.lit(1e-15)), F.lit(1 - 1e-15))
@@ -57,7 +72,7 @@ def evaluate_classification(df: DataFrame, label: str, score: str, threshold: fl
         F.avg(-F.log(F.when(yes, safe).otherwise(1 - safe))).alias("log_loss"),
     )
     tp, fp, fn, n = F.col("tp"), F.col("fp"), F.col("fn"), F.col("n")
-    return sums.select(
+    result = sums.select(
         F.try_divide(tp, tp + fp).alias("precision"),
         F.try_divide(tp, tp + fn).alias("recall"),
         F.try_divide(n - fp - fn, n).alias("accuracy"),
@@ -65,6 +80,7 @@ def evaluate_classification(df: DataFrame, label: str, score: str, threshold: fl
         "log_loss",
         F.lit(area).alias("roc_auc"),
     )
+    return _computed(result, rows)
 
 
 def confusion_matrix(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:

@@ -35,10 +35,15 @@ def top_station_array(hires: DataFrame, moment: str, k: int = 3) -> DataFrame:
     return top.agg(F.transform(ranked, lambda s: s["start_station_name"]).alias("top_stations"))
 
 
+def exact_mean(column: str) -> Column:
+    """Mean over a decimal sum (six places): the same whatever order the rows are added in."""
+    return F.sum(F.col(column).cast("decimal(28,6)")).cast("double") / F.count(column)
+
+
 def avg_duration(hires: DataFrame, names: Sequence[str], moment: str) -> DataFrame:
     """Mean duration at the listed stations (upper case) after a moment."""
     listed = since(hires, moment).filter(F.upper("start_station_name").isin(list(names)))
-    return listed.groupBy("start_station_name").agg(F.avg("duration").alias("avg_duration"))
+    return listed.groupBy("start_station_name").agg(exact_mean("duration").alias("avg_duration"))
 
 
 def trip_type(limit: float) -> Column:

@@ -170,17 +170,19 @@ def feat_delay_since_product(target: DataFrame, history: DataFrame) -> DataFrame
 def feature_table(
     target: DataFrame, history: DataFrame, lines: DataFrame, train_lines: DataFrame, flags: Mapping[str, str]
 ) -> DataFrame:
-    """All features on one row per user of the target. The per-order features share one grouping by order."""
-    mine = semi_in(history, target, "user_id")
-    per_order = order_summary(mine, flags).groupBy("user_id").agg(
+    """All features on one row per user of the target; ``history`` holds the lines of those users.
+
+    The per-order features share one grouping by order.
+    """
+    per_order = order_summary(history, flags).groupBy("user_id").agg(
         *_per_order_totals(), *_delays(), *_dept_columns(flags), *_bought_last(), *_basket_means()
     )
     parts = [
         per_order,
-        distinct_products(mine),
-        feat_cart_rank(mine),
+        distinct_products(history),
+        feat_cart_rank(history),
         feat_delay_last_order(target, lines, train_lines),
-        feat_delay_since_product(target, mine),
+        feat_delay_since_product(target, history),
     ]
     return star_join(target, parts, "user_id")
 

@@ -10,6 +10,7 @@ from tablejobs.queries import roles
 from tablejobs.queries.registry import query
 from tablejobs.queries.roles import roles_sql
 from tablejobs.queries.rows import user_counts
+from tablejobs.sources import materialize
 
 
 def _flat(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,7 +125,7 @@ CLASSES_SQL = f"SELECT user_id, {', '.join(_class_sql(m) for m in roles.MEASURES
 
 
 def user_classes(spark: SparkSession, sf: str) -> DataFrame:
-    users = user_counts(spark, sf)
+    users = materialize(user_counts(spark, sf), "users")  # read for the cut points and again for the classes
     return plan.user_quartile_classes(users, plan.dept_quartiles(users, roles.MEASURES), roles.MEASURES)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablejobs.plans import hires as plan
 from tablejobs.queries import roles
@@ -28,14 +27,13 @@ def hires_by_top_stations(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "avg_duration_listed_stations",
     roles_sql("""
-    SELECT start_station_name, round(avg(duration), 6) AS avg_duration FROM hires
+    SELECT start_station_name, sum(duration::DECIMAL(28, 6))::DOUBLE / count(duration) AS avg_duration FROM hires
     WHERE upper(start_station_name) IN ('CLICK', 'SIGNUP') AND start_date > TIMESTAMP '2024-01-10 00:00:00'
     GROUP BY start_station_name
     """),
 )
 def avg_duration_listed_stations(spark: SparkSession, sf: str) -> DataFrame:
-    means = plan.avg_duration(roles.hires(spark, sf), ["CLICK", "SIGNUP"], roles.HIRE_MOMENT)
-    return means.withColumn("avg_duration", F.round("avg_duration", 6))
+    return plan.avg_duration(roles.hires(spark, sf), ["CLICK", "SIGNUP"], roles.HIRE_MOMENT)
 
 
 _HASH_SQL = """
@@ -52,14 +50,13 @@ hashes AS (SELECT id, string_agg(substr('0123456789bcdefghjkmnpqrstuvwxyz', digi
 @query(
     "geo_cell_rollup",
     roles_sql(f"""{_HASH_SQL}
-    SELECT h AS cell, count(*) AS nb_hires, round(avg(duration), 6) AS avg_duration
+    SELECT h AS cell, count(*) AS nb_hires, sum(duration::DECIMAL(28, 6))::DOUBLE / count(duration) AS avg_duration
     FROM hires JOIN hashes ON start_station_id = id GROUP BY h
-    UNION ALL SELECT substr(h, 1, 4), count(*), round(avg(duration), 6)
+    UNION ALL SELECT substr(h, 1, 4), count(*), sum(duration::DECIMAL(28, 6))::DOUBLE / count(duration)
     FROM hires JOIN hashes ON start_station_id = id GROUP BY 1
-    UNION ALL SELECT substr(h, 1, 2), count(*), round(avg(duration), 6)
+    UNION ALL SELECT substr(h, 1, 2), count(*), sum(duration::DECIMAL(28, 6))::DOUBLE / count(duration)
     FROM hires JOIN hashes ON start_station_id = id GROUP BY 1
     """),
 )
 def geo_cell_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    cells = plan.geo_cell_rollup(roles.hires(spark, sf), roles.stations(spark, sf))
-    return cells.withColumn("avg_duration", F.round("avg_duration", 6))
+    return plan.geo_cell_rollup(roles.hires(spark, sf), roles.stations(spark, sf))

@@ -20,6 +20,7 @@ from tablejobs.queries.registry import query
 from tablejobs.queries.repurchase import Inputs
 from tablejobs.queries.roles import roles_sql, table
 from tablejobs.queries.rows import user_counts
+from tablejobs.sources import materialize
 
 
 @query(
@@ -149,7 +150,7 @@ def explode_join(spark: SparkSession, sf: str) -> DataFrame:
     """),
 )
 def lookup_join_constant(spark: SparkSession, sf: str) -> DataFrame:
-    users = user_counts(spark, sf)
+    users = materialize(user_counts(spark, sf), "users")
     names = {f"median_{d}": f"nb_commandes_{d}" for d in ("economy", "large", "medium", "promo", "none")}
     return lookup_constants(users, quartiles(users, roles.MEASURES), "measure", "cut_2", names)
 

@@ -17,6 +17,7 @@ from tablejobs.queries.baskets import CLASSES_SQL, user_classes
 from tablejobs.queries.registry import query
 from tablejobs.queries.repurchase import Inputs
 from tablejobs.queries.roles import roles_sql
+from tablejobs.sources import materialize
 
 
 def _recent(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,6 +188,11 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- clusters -----------------------------------------------------------------------------------------------------------
 
+
+def _classes(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(user_classes(spark, sf), "users_classes")
+
+
 CENTROIDS = [[1.0] * 5, [2.0, 3.0, 2.0, 3.0, 2.0], [4.0] * 5]
 
 
@@ -248,11 +254,11 @@ def segment_profile(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def standardize(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(metrics.standardize(user_classes(spark, sf), roles.MEASURES))
+    return _rounded(metrics.standardize(_classes(spark, sf), roles.MEASURES))
 
 
 def _sample(spark: SparkSession, sf: str) -> DataFrame:
-    return hash_sample(user_classes(spark, sf), "user_id", segmentation.SAMPLE, "0")
+    return hash_sample(_classes(spark, sf), "user_id", segmentation.SAMPLE, "0")
 
 
 @query("kmeans_fit_select")
@@ -273,7 +279,7 @@ def kmeans_default(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("segmentation_run")
 def segmentation_run(spark: SparkSession, sf: str) -> DataFrame:
-    _, assigned = segmentation.segmentation(user_classes(spark, sf), roles.MEASURES)
+    _, assigned = segmentation.segmentation(_classes(spark, sf), roles.MEASURES)
     return segmentation.profile(assigned, roles.MEASURES)
 
 
@@ -400,8 +406,8 @@ def trip_type_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ratios(spark: SparkSession, sf: str) -> DataFrame:
-    """The feature table, materialised: every fit and evaluation below reads it again."""
-    return Inputs(spark, sf).ratios.persist()
+    """The feature table, written once: every fit and evaluation below reads it again."""
+    return materialize(Inputs(spark, sf).ratios, "features")
 
 
 @query("logreg_class_weights")

@@ -11,6 +11,7 @@ from tablejobs.plans import baskets, hires, repurchase
 from tablejobs.queries import roles
 from tablejobs.queries.registry import query
 from tablejobs.queries.roles import roles_sql, table
+from tablejobs.sources import materialize
 
 
 @query(
@@ -286,7 +287,7 @@ def order_by(spark: SparkSession, sf: str) -> DataFrame:
     roles_sql("SELECT * FROM users ORDER BY md5(concat(user_id, 'sample')), user_id LIMIT 100"),
 )
 def random_sample_n(spark: SparkSession, sf: str) -> DataFrame:
-    return hash_sample(user_counts(spark, sf), "user_id", 100, "sample")
+    return hash_sample(materialize(user_counts(spark, sf), "users"), "user_id", 100, "sample")
 
 
 def user_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,7 @@ from tablejobs.sources.tables import (
     bucketed_write,
     clustered_write,
     create_table,
+    materialize,
     replace_table,
     temp_table,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "export_json",
     "local_table",
     "lookup_join",
+    "materialize",
     "read_csv",
     "read_csv_inferred",
     "read_json",

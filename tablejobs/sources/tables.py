@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tablejobs.session import work_dir
+
 
 def _read_back(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -15,6 +17,11 @@ def create_table(df: DataFrame, path: str) -> DataFrame:
     return _read_back(df, path)
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """A result that several later steps read, written once to the shared folder. Lost executors do not lose it."""
+    return create_table(df, work_dir(df.sparkSession, label))
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Query result in place of a table. Spark refuses a result that still reads ``path``."""
     df.write.mode("overwrite").parquet(path)
