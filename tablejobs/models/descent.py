@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tablejobs.models.features import MAX_CATEGORIES
 from tablejobs.models.tables import WEIGHTS_SCHEMA
+from tablejobs.models.training import ROWS_PER_TASK
+
+LOSS = -1
 
 
 @dataclass
@@ -80,82 +83,78 @@ def fit_descent(
     means = {c: stats[f"m_{c}"] or 0.0 for c in numeric}
     spread = {c: stats[f"s_{c}"] or 1.0 for c in numeric}
     scaled = [F.coalesce((F.col(c) - means[c]) / spread[c], F.lit(0.0)).alias(c) for c in numeric]
-    y = F.col(label).cast("double")
     merged = (
-        df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in categorical], *scaled, y.alias("__y"), w.alias("__w"))
+        df.select(
+            *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in categorical],
+            *scaled,
+            F.col(label).cast("double").alias("__y"),
+            w.alias("__w"),
+        )
         .groupBy(*categorical, *numeric)
         .agg(
-            F.sum("__w").alias("__n"),
-            F.sum(F.col("__w") * F.col("__y")).alias("__sy"),
-            F.sum(F.col("__w") * F.col("__y") * F.col("__y")).alias("__syy"),
+            F.sum("__w").alias("n"),
+            F.sum(F.col("__w") * F.col("__y")).alias("sy"),
+            F.sum(F.col("__w") * F.col("__y") * F.col("__y")).alias("syy"),
         )
         .persist()
     )
     try:
         labels: dict[str, list[str]] = {}
-        rows = merged
+        indexed = merged
         if categorical:
             index = [f"__ix_{c}" for c in categorical]
             indexer = StringIndexer(inputCols=list(categorical), outputCols=index, stringOrderType="alphabetAsc").fit(merged)
             labels = dict(zip(categorical, [list(x) for x in indexer.labelsArray]))
-            rows = indexer.transform(merged)
+            indexed = indexer.transform(merged)
         sizes = [len(labels[c]) for c in categorical]
         starts = [sum(sizes[:i]) for i in range(len(sizes))]
-        width = sum(sizes) + len(numeric)
-        weights = [0.0] * width
-        intercept = stats["mean"] if loss == "squared" else 0.0
+        offset, width = sum(sizes), sum(sizes) + len(numeric)
+        places = [_place(F.col(f"__ix_{c}") + start, F.lit(1.0)) for c, start in zip(categorical, starts)]
+        places += [_place(F.lit(offset + j), F.col(c)) for j, c in enumerate(numeric)]
+        places.append(_place(F.lit(width), F.lit(1.0)))  # the intercept
+        rows = indexed.select("n", "sy", "syy", F.array(*places).alias("x"))
+        rows = rows.coalesce(merged.count() // ROWS_PER_TASK + 1).persist()
+        weights = [0.0] * width + [stats["mean"] if loss == "squared" else 0.0]
         history: list[float] = []
         for _ in range(max_iter):
-            gradient, slope, mean_loss = _step(rows, categorical, numeric, sizes, starts, weights, intercept, loss, stats["n"])
-            history.append(mean_loss)
-            if len(history) > 1 and history[-2] - mean_loss < min_rel_progress * abs(history[-2]):
+            sums = _step(rows, weights, loss)
+            history.append(sums.get(LOSS, 0.0) / stats["n"])
+            if len(history) > 1 and history[-2] - history[-1] < min_rel_progress * abs(history[-2]):
                 break
-            intercept -= learn_rate * slope
-            moved = [x - learn_rate * (g + l2 * x) for x, g in zip(weights, gradient)]
-            weights = [math.copysign(max(abs(x) - learn_rate * l1, 0.0), x) for x in moved]
+            slope = [sums.get(i, 0.0) / stats["n"] for i in range(width + 1)]
+            moved = [x - learn_rate * (g + l2 * x) for x, g in zip(weights[:-1], slope)]
+            shrunk = [math.copysign(max(abs(x) - learn_rate * l1, 0.0), x) for x in moved]
+            weights = [*shrunk, weights[-1] - learn_rate * slope[-1]]
+        rows.unpersist()
     finally:
         merged.unpersist()
-    numbers = {c: weights[sum(sizes) + j] / spread[c] for j, c in enumerate(numeric)}
+    numbers = {c: weights[offset + j] / spread[c] for j, c in enumerate(numeric)}
     shift = sum(numbers[c] * means[c] for c in numeric)
     categories = {c: dict(zip(labels[c], weights[s : s + n])) for c, s, n in zip(categorical, starts, sizes)}
-    return DescentModel(loss, intercept - shift, numbers, means, categories, history)
-
-
-def _step(
-    rows: DataFrame,
-    categorical: Sequence[str],
-    numeric: Sequence[str],
-    sizes: Sequence[int],
-    starts: Sequence[int],
-    weights: Sequence[float],
-    intercept: float,
-    loss: str,
-    n: float,
-) -> tuple[list[float], float, float]:
-    """Gradient, intercept slope and mean loss at the given weights: one grouped sum over (slot, part)."""
-    z: Column = F.lit(float(intercept))
-    for c, start, size in zip(categorical, starts, sizes):
-        z = z + F.get(F.lit(list(weights[start : start + size])), F.col(f"__ix_{c}").cast("int"))
-    offset = sum(sizes)
-    for j, c in enumerate(numeric):
-        z = z + F.lit(weights[offset + j]) * F.col(c)
-    count, sy, syy, at = F.col("__n"), F.col("__sy"), F.col("__syy"), F.col("__z")
+    return DescentModel(loss, weights[-1] - shift, numbers, means, categories, history)
+
+
+def _place(slot: Column, value: Column) -> Column:
+    return F.struct(slot.cast("int").alias("slot"), value.alias("value"))
+
+
+def _step(rows: DataFrame, weights: list[float], loss: str) -> dict[int, float]:
+    """Gradient by slot, and the loss under LOSS, at the given weights: one grouped sum.
+
+    The weights go in as one literal, so that every step runs the same compiled plan.
+    """
+    current = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
+    z = F.aggregate("x", F.lit(0.0), lambda total, p: total + p["value"] * F.get(current, p["slot"]))
+    n, sy, syy = F.col("n"), F.col("sy"), F.col("syy")
+    at = F.col("z")
     if loss == "squared":
-        residual = count * at - sy
-        value = (count * at * at - 2 * at * sy + syy) / 2
+        residual = n * at - sy
+        value = (n * at * at - 2 * at * sy + syy) / 2
     else:
-        residual = count / (1 + F.exp(-at)) - sy
-        value = count * (F.greatest(at, F.lit(0.0)) + F.log1p(F.exp(-F.abs(at)))) - at * sy
-    valued = rows.withColumn("__z", z).withColumn("__g", residual).withColumn("__l", value)
-
-    def part(slot: Column, amount: Column) -> Column:
-        return F.struct(slot.cast("int").alias("slot"), amount.alias("amount"))
-
-    g = F.col("__g")
-    parts = [part(F.lit(-2), F.col("__l")), part(F.lit(-1), g)]
-    parts += [part(F.col(f"__ix_{c}") + s, g) for c, s in zip(categorical, starts)]
-    parts += [part(F.lit(offset + j), g * F.col(c)) for j, c in enumerate(numeric)]
-    summed = valued.select(F.explode(F.array(*parts)).alias("p")).groupBy("p.slot").agg(F.sum("p.amount").alias("amount"))
-    sums = {r["slot"]: r["amount"] for r in summed.collect()}  # one row per weight
-    gradient = [sums.get(i, 0.0) / n for i in range(len(weights))]
-    return gradient, sums.get(-1, 0.0) / n, sums.get(-2, 0.0) / n
+        residual = n / (1 + F.exp(-at)) - sy
+        value = n * (F.greatest(at, F.lit(0.0)) + F.log1p(F.exp(-F.abs(at)))) - at * sy
+    parts = F.concat("x", F.array(_place(F.lit(LOSS), F.lit(None).cast("double"))))
+    spread = rows.withColumn("z", z).select(residual.alias("r"), value.alias("l"), F.explode(parts).alias("p"))
+    amount = F.when(F.col("p.slot") == LOSS, F.col("l")).otherwise(F.col("r") * F.col("p.value"))
+    summed = spread.groupBy("p.slot").agg(F.sum(amount).alias("amount"))
+    return {r["slot"]: r["amount"] for r in summed.collect()}  # one row per weight

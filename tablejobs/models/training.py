@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tablejobs.models.features import encoding
 
+ROWS_PER_TASK = 50_000
+
 
 def fit(
     df: DataFrame,
@@ -30,7 +32,7 @@ def fit(
 
     ``weight`` is computed from the label. ``count_rows`` first groups equal rows and weights them by their number: where all
     features are categories this leaves one row per combination, however many rows there were. It suits losses that are sums
-    over rows. ``extra`` columns are kept for the estimator.
+    over rows; a penalty must not be standardised then, because MLlib's deviation of weighted rows is another one. ``extra`` columns are kept for the estimator.
     """
     prepared = df if prepare is None else prepare.transform(df)
     rows = prepared.select(
@@ -49,7 +51,8 @@ def fit(
         estimator.setWeightCol("__weight")
     rows = rows.persist()
     try:
-        fitted = Pipeline(stages=[*encoding(rows, categorical, numeric), estimator.setLabelCol(label)]).fit(rows)
+        few = rows.coalesce(rows.count() // ROWS_PER_TASK + 1)  # iterations over few rows need few tasks
+        fitted = Pipeline(stages=[*encoding(few, categorical, numeric), estimator.setLabelCol(label)]).fit(few)
     finally:
         rows.unpersist()
     return PipelineModel(([] if prepare is None else [prepare]) + fitted.stages)
@@ -62,11 +65,12 @@ def _elastic(l1: float, l2: float) -> dict[str, float]:
 
 def linear(l1: float = 0.0, l2: float = 0.0, max_iter: int = 100) -> LinearRegression:
     """Least squares; up to 4,096 encoded features MLlib solves it from one pass over the rows."""
-    return LinearRegression(maxIter=max_iter, aggregationDepth=3, **_elastic(l1, l2))
+    return LinearRegression(maxIter=max_iter, **_elastic(l1, l2))
 
 
-def logistic(l1: float = 0.0, l2: float = 0.0, max_iter: int = 100) -> LogisticRegression:
-    return LogisticRegression(maxIter=max_iter, aggregationDepth=3, **_elastic(l1, l2))
+def logistic(l1: float = 0.0, l2: float = 0.0, max_iter: int = 100, standardize: bool = True) -> LogisticRegression:
+    """With ``standardize=False`` the penalties apply to the weights as they are; grouped rows need that (see ``fit``)."""
+    return LogisticRegression(maxIter=max_iter, standardization=standardize, **_elastic(l1, l2))
 
 
 def boosted_trees(

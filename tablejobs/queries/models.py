@@ -364,7 +364,7 @@ def trip_duration_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("logreg_fit")
 def logreg_fit(spark: SparkSession, sf: str) -> DataFrame:
-    estimator = training.logistic(0.001, 0.001, 20)
+    estimator = training.logistic(0.001, 0.001, 20, standardize=False)
     _, held_out = scoring.fit_trip_type(_trips(spark, sf), estimator, count_rows=True)
     return metrics.evaluate_classification(held_out, "is_long", "score", 0.127)
 
@@ -390,8 +390,8 @@ def trip_type_model(spark: SparkSession, sf: str) -> DataFrame:
     trips = _trips(spark, sf)
     stopped = hash_split(trips, "hire_id", 0.1, "stop", "stops")
     runs = {
-        "logistic": scoring.fit_trip_type(trips, training.logistic(0.001, 0.001, 20), count_rows=True)[1],
-        "logistic_penalised": scoring.fit_trip_type(trips, training.logistic(0.01, 0.01, 20), count_rows=True)[1],
+        "logistic": scoring.fit_trip_type(trips, training.logistic(0.001, 0.001, 20, standardize=False), count_rows=True)[1],
+        "logistic_penalised": scoring.fit_trip_type(trips, training.logistic(0.01, 0.01, 20, standardize=False), count_rows=True)[1],
         "boosted": scoring.fit_trip_type(stopped, training.boosted_trees(validation="stops"), extra=["stops"])[1],
         "forest": scoring.fit_trip_type(trips, training.forest())[1],
     }

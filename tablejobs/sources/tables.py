@@ -23,7 +23,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Query result in place of a table. Spark refuses a result that still reads ``path``."""
+    """Query result in place of a table. A result that still reads ``path`` is refused, before anything is removed."""
+    folder = f"{path.rstrip('/')}/"
+    if any(folder in file for file in df.inputFiles()):
+        raise ValueError(f"the result to be written reads {path}")
     df.write.mode("overwrite").parquet(path)
     return _read_back(df, path)
 
