@@ -46,11 +46,21 @@ def repurchase_target(history: DataFrame, lines: DataFrame, marked_train_lines:
     return flagged.select("user_id", F.coalesce("achat", F.lit(0)).alias("cible"))
 
 
+def orders_of(history: DataFrame) -> DataFrame:
+    """One row per order, with whether it holds the product."""
+    return history.groupBy(*ORDER_KEYS).agg(F.max("is_target").alias("has_target"))
+
+
+def _distinct_departments() -> Column:
+    """Departments are few, so a set of them is smaller than the extra shuffle of a distinct count."""
+    return F.size(F.collect_set("department")).cast("bigint")
+
+
 def order_summary(history: DataFrame, flags: Mapping[str, str]) -> DataFrame:
-    """One row per order: lines, distinct products and departments, whether it holds the product, one flag per department.
+    """``orders_of`` with the number of lines, distinct products and departments, and one flag per department.
 
-    Lines are first made distinct by product, so that only one distinct count is left and no row is copied. ``flags`` maps
-    output column to department.
+    Lines are first made distinct by product, so that no distinct count is left and no row is copied. ``flags`` maps output
+    column to department.
     """
     per_product = history.groupBy(*ORDER_KEYS, "product_id", "department").agg(
         F.count(F.lit(1)).alias("lines"), F.max("is_target").alias("is_target")
@@ -58,7 +68,7 @@ def order_summary(history: DataFrame, flags: Mapping[str, str]) -> DataFrame:
     return per_product.groupBy(*ORDER_KEYS).agg(
         F.sum("lines").alias("lines"),
         F.count("product_id").alias("products"),
-        F.countDistinct("department").alias("departments"),
+        _distinct_departments().alias("departments"),
         F.max("is_target").alias("has_target"),
         *[F.max(F.when(F.col("department") == d, 1).otherwise(0)).alias(name) for name, d in flags.items()],
     )
@@ -108,31 +118,29 @@ def distinct_products(history: DataFrame) -> DataFrame:
     """Distinct products and departments per user. A product has one department, so one distinct pass serves both."""
     once = history.select("user_id", "product_id", "department").distinct()
     return once.groupBy("user_id").agg(
-        F.count("product_id").alias("nb_produits_dist"), F.countDistinct("department").alias("nb_department")
+        F.count("product_id").alias("nb_produits_dist"), _distinct_departments().alias("nb_department")
     )
 
 
-def feat_consumption(history: DataFrame) -> DataFrame:
-    per_order = order_summary(history, {}).groupBy("user_id").agg(*_per_order_totals())
-    return per_order.join(distinct_products(history), "user_id")
+def feat_consumption(per_order: DataFrame, history: DataFrame) -> DataFrame:
+    return per_order.groupBy("user_id").agg(*_per_order_totals()).join(distinct_products(history), "user_id")
 
 
-def feat_delay(history: DataFrame) -> DataFrame:
+def feat_delay(per_order: DataFrame) -> DataFrame:
     """Days between orders; the missing delay of a first order is left out of the mean."""
-    return history.select(*ORDER_KEYS).distinct().groupBy("user_id").agg(*_delays())
+    return per_order.groupBy("user_id").agg(*_delays())
 
 
-def feat_dept_flags(history: DataFrame, flags: Mapping[str, str]) -> DataFrame:
-    return order_summary(history, flags).groupBy("user_id").agg(*_dept_columns(flags))
+def feat_dept_flags(per_order: DataFrame, flags: Mapping[str, str]) -> DataFrame:
+    return per_order.groupBy("user_id").agg(*_dept_columns(flags))
 
 
-def feat_bought_last(history: DataFrame) -> DataFrame:
-    per_order = history.groupBy(*ORDER_KEYS).agg(F.max("is_target").alias("has_target"))
+def feat_bought_last(per_order: DataFrame) -> DataFrame:
     return per_order.groupBy("user_id").agg(*_bought_last())
 
 
-def feat_basket_means(history: DataFrame) -> DataFrame:
-    return order_summary(history, {}).groupBy("user_id").agg(*_basket_means())
+def feat_basket_means(per_order: DataFrame) -> DataFrame:
+    return per_order.groupBy("user_id").agg(*_basket_means())
 
 
 def feat_cart_rank(history: DataFrame) -> DataFrame:
@@ -152,37 +160,41 @@ def feat_delay_last_order(target: DataFrame, lines: DataFrame, train_lines: Data
     return once.withColumnRenamed("days_since_prior_order", "delai_dercomm")
 
 
-def delay_after_product(history: DataFrame) -> DataFrame:
+def delay_after_product(per_order: DataFrame) -> DataFrame:
     """Days from the last order with the product to the last order; only users with a later order."""
-    per_order = history.groupBy(*ORDER_KEYS).agg(F.max("is_target").alias("has_target"))
     return sum_after_last(
         per_order, "user_id", "order_number", F.col("has_target"), "days_since_prior_order", "delai_dernier_achat"
     )
 
 
-def feat_delay_since_product(target: DataFrame, history: DataFrame) -> DataFrame:
+def feat_delay_since_product(target: DataFrame, per_order: DataFrame) -> DataFrame:
     """The same for every user of the target: 0 where there is no later order."""
     filled = F.when(F.col("delai_dernier_achat") >= 0, F.col("delai_dernier_achat")).otherwise(0.0)
-    joined = target.select("user_id").join(delay_after_product(history), "user_id", "left")
+    joined = target.select("user_id").join(delay_after_product(per_order), "user_id", "left")
     return joined.select("user_id", filled.alias("delai_dernier_achat"))
 
 
 def feature_table(
-    target: DataFrame, history: DataFrame, lines: DataFrame, train_lines: DataFrame, flags: Mapping[str, str]
+    target: DataFrame,
+    history: DataFrame,
+    per_order: DataFrame,
+    lines: DataFrame,
+    train_lines: DataFrame,
+    flags: Mapping[str, str],
 ) -> DataFrame:
-    """All features on one row per user of the target; ``history`` holds the lines of those users.
+    """All features on one row per user of the target.
 
-    The per-order features share one grouping by order.
+    ``history`` holds the lines of those users and ``per_order`` their ``order_summary``, best as a written table: it is read
+    three times. All features of the orders come from one grouping by user.
     """
-    per_order = order_summary(history, flags).groupBy("user_id").agg(
-        *_per_order_totals(), *_delays(), *_dept_columns(flags), *_bought_last(), *_basket_means()
-    )
     parts = [
-        per_order,
+        per_order.groupBy("user_id").agg(
+            *_per_order_totals(), *_delays(), *_dept_columns(flags), *_bought_last(), *_basket_means()
+        ),
         distinct_products(history),
         feat_cart_rank(history),
         feat_delay_last_order(target, lines, train_lines),
-        feat_delay_since_product(target, history),
+        feat_delay_since_product(target, per_order),
     ]
     return star_join(target, parts, "user_id")
 

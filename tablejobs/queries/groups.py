@@ -113,7 +113,7 @@ def select_distinct(spark: SparkSession, sf: str) -> DataFrame:
 )
 def distinct_over_group(spark: SparkSession, sf: str) -> DataFrame:
     """The target column in the grouping and the outer DISTINCT change nothing: one row per user either way."""
-    return repurchase.feat_delay(Inputs(spark, sf).mine).select("user_id", "moy_delai_comm").distinct()
+    return repurchase.feat_delay(repurchase.orders_of(Inputs(spark, sf).mine)).select("user_id", "moy_delai_comm").distinct()
 
 
 @query(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Skewed joins are left to adaptive execution: it sees the real partition sizes, splits the hot ones and broadcasts a side
 # only when its measured size is below spark.sql.autoBroadcastJoinThreshold. Forcing the split keeps it working even when the
@@ -18,15 +19,29 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
+SHUFFLE_BYTES = 512 * 1024 * 1024  # input per shuffle partition; pruned columns make it less on the wire
+MAX_PARTITIONS = 20_000  # beyond this the shuffle blocks of a wide stage become too small and too many
+
+_sizes: dict[str, int] = {}
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the Parquet files below a folder, from their listing; no file is opened."""
+    if folder not in _sizes:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        _sizes[folder] = files.load(folder).agg(F.sum("length")).first()[0] or 0
+    return _sizes[folder]
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply SETTINGS; with ``input_bytes`` also raise the shuffle partitions to about 128 MB each (never lower them)."""
+    """Apply SETTINGS; with ``input_bytes`` also raise the shuffle partitions to the size of the input (never lower them).
+
+    Adaptive execution merges partitions that turn out small, so the number only has to be large enough.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
-        wanted = -(-input_bytes // SHUFFLE_BYTES)
+        wanted = min(-(-input_bytes // SHUFFLE_BYTES), MAX_PARTITIONS)
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark

@@ -82,14 +82,16 @@ def test_repurchase_features(shop):
     target = repurchase.repurchase_target(history, flat, train)
     assert rows(target) == [("u", 1), ("w", 0)]
     flags = repurchase.dept_flags(["dry goods", "babies"])
-    found = {r["user_id"]: r.asDict() for r in repurchase.feature_table(target, history, flat, train, flags).collect()}
+    per_order = repurchase.order_summary(history, flags)
+    table = repurchase.feature_table(target, history, per_order, flat, train, flags)
+    found = {r["user_id"]: r.asDict() for r in table.collect()}
     u, w = found["u"], found["w"]
     assert (u["nb_commandes_total"], u["nb_commandes_produit"], u["volume_produits"], u["nb_produits_dist"]) == (2, 1, 3, 3)
     assert (u["nb_department"], u["moy_delai_comm"], u["achat_dernierachat"]) == (2, 5.0, 0)
     assert (u["flag_dry_goods"], u["nb_comm_babies"], u["nb_department_moy"], u["nb_produit_moy"]) == (1, 2, 1.5, 1.5)
     assert (u["moy_rang_comm"], u["delai_dercomm"], u["delai_dernier_achat"]) == (1.0, 9.0, 5.0)
     assert (w["moy_delai_comm"], w["achat_dernierachat"], w["delai_dernier_achat"], w["moy_rang_comm"]) == (None, 1, 0.0, 3.0)
-    ratios = repurchase.feature_table_ratios(repurchase.feature_table(target, history, flat, train, flags), flags)
+    ratios = repurchase.feature_table_ratios(table, flags)
     share = ratios.filter("user_id = 'u'").first()
     assert (share["part_commandes_produit"], share["part_comm_babies"]) == (0.5, 1.0)
     assert not [c for c in ratios.columns if c.startswith("nb_comm_") or c == "nb_commandes_produit"]

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tablejobs import sources
-from tablejobs.session import SETTINGS, tune, work_dir
+from tablejobs.session import MAX_PARTITIONS, SETTINGS, SHUFFLE_BYTES, folder_bytes, tune, work_dir
 
 
 def test_work_dir_is_new_and_shared(spark):
@@ -18,13 +18,21 @@ def test_tune_only_raises_the_shuffle_partitions(spark):
     try:
         tune(spark, input_bytes=1)
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        tune(spark, input_bytes=100 * 128 * 1024 * 1024)
+        tune(spark, input_bytes=100 * SHUFFLE_BYTES)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+        tune(spark, input_bytes=10**15)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(MAX_PARTITIONS)
         assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_folder_size_is_that_of_its_files(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(f"{tmp_path}/a/b.parquet")
+    files = [p for p in tmp_path.rglob("*.parquet") if p.is_file()]
+    assert len(files) == 3 and folder_bytes(spark, str(tmp_path)) == sum(p.stat().st_size for p in files)
+
+
 def test_csv_both_ways(spark):
     df = spark.createDataFrame([(1, "a,b", 1.5), (2, None, None)], "id int, name string, x double")
     path = sources.write_csv(df, work_dir(spark, "csv"))
