@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX = 5  # hexadecimal digits: about a million equal classes
+DIGITS = 3  # hexadecimal digits per count: 4,096 equal classes
 
 
 def _digest(key: str, seed: str) -> Column:
@@ -28,21 +28,25 @@ def hash_split(df: DataFrame, key: str, eval_fraction: float, seed: str = "", na
     return df.withColumn(name, _below(key, eval_fraction, seed))
 
 
+def _last_open(counts: DataFrame, digits: str, n: int, before: Column | int) -> Column:
+    """Last class, in order of digits, that starts before row ``n``, and the rows before it; ``counts`` has at most 4,096 rows."""
+    earlier = Window.orderBy(digits).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(digits, (F.coalesce(F.sum("c").over(earlier), F.lit(0)) + before).alias("b"))
+    return starts.filter(F.col("b") < n).agg(F.max(F.struct(digits, "b")).alias("e")).scalar()
+
+
 def hash_sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer), in place of ``ORDER BY rand() LIMIT n``. ``key`` must be unique.
 
-    Counting the digests by prefix first tells which prefixes hold the n smallest, so that hardly more than n rows of the
-    whole table reach the final ordering.
+    Two counts, by the first digits of the digest and, inside one class of those, by the next ones, tell up to which digits
+    the n smallest digests reach; so hardly more than n rows of the whole table come to the final ordering. ``df`` is read
+    three times: write it first if it is costly.
     """
     hashed = df.withColumn("__md5", _digest(key, seed))
-    prefix = F.substring("__md5", 1, PREFIX)
-    counts = hashed.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
-    coarse = counts.groupBy(F.substring("p", 1, 3).alias("p3")).agg(F.sum("c").alias("c"))
-    before = F.sum("c").over(Window.orderBy("p3").rowsBetween(Window.unboundedPreceding, -1))  # at most 4,096 rows
-    opened = coarse.select("p3", F.coalesce(before, F.lit(0)).alias("b")).filter(F.col("b") < n)
-    edge = opened.agg(F.max(F.struct("p3", "b")).alias("e")).scalar()
-    within = counts.filter(F.substring("p", 1, 3) == edge["p3"])  # the one coarse class where the n-th row lies
-    upto = F.sum("c").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1))  # at most 256 rows
-    last = within.select("p", (F.coalesce(upto, F.lit(0)) + edge["b"]).alias("b")).filter(F.col("b") < n)
-    kept = hashed.filter(prefix <= last.agg(F.max("p").alias("p")).scalar())
+    first, second = F.substring("__md5", 1, DIGITS), F.substring("__md5", 1 + DIGITS, DIGITS)
+    coarse = hashed.groupBy(first.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    edge = _last_open(coarse, "p", n, 0)
+    within = hashed.filter(first == edge["p"]).groupBy(second.alias("q")).agg(F.count(F.lit(1)).alias("c"))
+    last = _last_open(within, "q", n, edge["b"])
+    kept = hashed.filter((first < edge["p"]) | ((first == edge["p"]) & (second <= last["q"])))
     return kept.orderBy("__md5", key).limit(n).drop("__md5")

@@ -8,7 +8,7 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablejobs.models import training
+from tablejobs.models import metrics, training
 from tablejobs.models.features import TripFeatures, trip_columns
 from tablejobs.operators import hash_split
 from tablejobs.plans.hires import trip_type
@@ -33,6 +33,25 @@ def fit_repurchase(
     return model, training.score(model, split)
 
 
+def report(scored: DataFrame, label: str, threshold: float) -> DataFrame:
+    """Metrics, confusion matrix and ROC points of scored rows in one long table: (item, at, value).
+
+    ``at`` is null for a metric, "expected/predicted" for a cell of the matrix and the threshold for a point of the curve.
+    """
+    numbers = metrics.evaluate_classification(scored, label, "score", threshold)
+    long = numbers.unpivot([], numbers.columns, "item", "value").select("item", F.lit(None).cast("string").alias("at"), "value")
+    cells = metrics.confusion_matrix(scored, label, "score", threshold).unpivot(
+        "expected_label", ["predicted_0", "predicted_1"], "predicted", "value"
+    )
+    place = F.concat_ws("/", F.col("expected_label").cast("string"), F.substring("predicted", -1, 1))
+    matrix = cells.select(F.lit("confusion").alias("item"), place.alias("at"), F.col("value").cast("double").alias("value"))
+    curve = metrics.roc_curve(scored, label, "score").unpivot("threshold", ["recall", "false_positive_rate"], "name", "value")
+    points = curve.select(
+        F.concat(F.lit("roc_"), F.col("name")).alias("item"), F.col("threshold").cast("string").alias("at"), "value"
+    )
+    return long.unionByName(matrix).unionByName(points)
+
+
 def trip_rows(placed_hires: DataFrame, limit: float) -> DataFrame:
     """Hires with their place and a 0/1 label for long trips."""
     labelled = placed_hires.withColumn("type_trajet", trip_type(limit))

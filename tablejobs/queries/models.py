@@ -425,19 +425,23 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scoring_run")
 def scoring_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Metrics of three repurchase models on the held-out share, and the area under the curve over all users."""
-    table_ = _ratios(spark, sf)
-    logistic = scoring.fit_repurchase(table_, training.logistic())[1]
-    boosted = scoring.fit_repurchase(table_, training.boosted_trees(min_rows=5))[1]
-    numeric = scoring.feature_columns(table_, "user_id", "cible")
-    split = hash_split(table_, "user_id", 0.75, "repurchase")
+    """Three repurchase models: metrics, confusion matrix and ROC points over all users and over the held-out share."""
+    table = _ratios(spark, sf)
+    split = hash_split(table, "user_id", 0.75, "repurchase")
+    numeric = scoring.feature_columns(table, "user_id", "cible")
     constant_rate = fit_descent(
         split.filter(~F.col("is_eval")), "cible", numeric=numeric, loss="log", learn_rate=0.3, max_iter=30, l1=0.01
-    ).transform(split, "score")
+    )
+    runs = {
+        "logistic": (scoring.fit_repurchase(table, training.logistic())[1], 0.236),
+        "constant_rate": (constant_rate.transform(split, "score"), 0.236),
+        "boosted": (scoring.fit_repurchase(table, training.boosted_trees(min_rows=5))[1], 0.5),
+    }
     result = None
-    for name, scored in {"logistic": logistic, "constant_rate": constant_rate, "boosted": boosted}.items():
-        for part, rows in (("all", scored), ("held_out", scored.filter("is_eval"))):
-            row = metrics.evaluate_classification(rows, "cible", "score", 0.236)
-            row = row.select(F.lit(name).alias("model"), F.lit(part).alias("part"), "*")
-            result = row if result is None else result.unionByName(row)
+    for name, (scored, threshold) in runs.items():
+        kept = materialize(scored.select("user_id", "cible", "is_eval", "score"), f"scored_{name}")
+        for part, rows in (("all", kept), ("held_out", kept.filter("is_eval"))):
+            found = scoring.report(rows, "cible", threshold)
+            found = found.select(F.lit(name).alias("model"), F.lit(part).alias("part"), "*")
+            result = found if result is None else result.unionByName(found)
     return result

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.ml import PipelineModel
@@ -169,12 +170,12 @@ def test_descent_falls_and_its_penalty_clears_weights(spark, trips):
     cats = ["station", "dayofweek", "hourofday"]
     kept = []
     for l1 in (0.0, 1.0, 5.0):
-        model = fit_descent(rows_, "duration", cats, learn_rate=0.3, max_iter=60, l1=l1, min_rel_progress=1e-6)
+        model = fit_descent(rows_, "duration", cats, learn_rate=0.5, max_iter=15, l1=l1, min_rel_progress=1e-6)
         assert all(b <= a + 1e-9 for a, b in zip(model.history, model.history[1:]))
         weights = tables.category_weights(model.weights_table(spark))
         kept.append(weights.filter("weight <> 0").count())
     assert kept[0] > kept[1] > kept[2]
-    free = fit_descent(rows_, "duration", cats, learn_rate=0.3, max_iter=60, min_rel_progress=1e-6)
+    free = fit_descent(rows_, "duration", cats, learn_rate=0.5, max_iter=25, min_rel_progress=1e-6)
     error = metrics.evaluate_regression(free.transform(rows_), "duration", "prediction").first()
     assert error["r2_score"] > 0.9
     unseen = rows_.limit(1).withColumn("station", F.lit("never seen"))
@@ -193,6 +194,28 @@ def test_descent_with_numbers_and_log_loss(spark):
     assert quality["roc_auc"] > 0.95 and model.history[-1] < model.history[0]
 
 
+def test_descent_steps_as_numpy_does(spark):
+    draw = np.random.default_rng(6)
+    station, x = draw.integers(0, 3, 200), draw.normal(5, 2, 200)
+    y = 3.0 * station + 0.7 * x + draw.normal(0, 0.1, 200)
+    df = spark.createDataFrame([(str(s), float(a), float(b)) for s, a, b in zip(station, x, y)], "s string, x double, y double")
+    model = fit_descent(df, "y", ["s"], ["x"], learn_rate=0.1, max_iter=7, l1=0.05, l2=0.02, min_rel_progress=0.0)
+    matrix = np.column_stack([station == 0, station == 1, station == 2, (x - x.mean()) / x.std()]).astype(float)
+    weights, intercept, losses = np.zeros(4), y.mean(), []
+    for _ in range(7):
+        residual = matrix @ weights + intercept - y
+        losses.append((residual**2).mean() / 2)
+        gradient = matrix.T @ residual / 200
+        intercept -= 0.1 * residual.mean()
+        moved = weights - 0.1 * (gradient + 0.02 * weights)
+        weights = np.sign(moved) * np.maximum(np.abs(moved) - 0.1 * 0.05, 0)
+    assert model.history == pytest.approx(losses)
+    assert [model.categories["s"][str(i)] for i in range(3)] == pytest.approx(weights[:3])
+    assert model.numbers["x"] == pytest.approx(weights[3] / x.std())
+    found = [r["prediction"] for r in model.transform(df).orderBy("x").collect()]
+    assert found == pytest.approx((matrix @ weights + intercept)[np.argsort(x)])
+
+
 def test_early_stop(spark, trips):
     rows_ = TripFeatures("plain").transform(trips)
     model = fit_descent(rows_, "duration", ["station"], max_iter=50, min_rel_progress=0.5)
