@@ -108,21 +108,25 @@ def test_every_feature_table_has_the_users_of_the_target(spark):
     assert len(last) == len(set(last)) and set(last) <= users
 
 
-def test_orders_of_one_very_busy_user(spark, tmp_path):
-    """The order numbers are put together from months; a user with most of the orders comes out as from one window."""
+@pytest.mark.parametrize("hot_rows", [20, 100_000])
+def test_orders_of_one_very_busy_user(spark, tmp_path, monkeypatch, hot_rows):
+    """A user with most of the orders, numbered by month (at the low limit), comes out as from one window."""
+    monkeypatch.setattr(roles, "HOT_ROWS", hot_rows)
     base = spark.range(600).select(
         F.col("id").alias("o_orderkey"),
         F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id") % 7).cast("bigint").alias("o_custkey"),
         F.expr("timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, int(id * 37 % 400))").alias("o_orderdate"),
     )
     base.write.parquet(f"{tmp_path}/orders.parquet")
-    found = roles.orders(spark, str(tmp_path)).select("order_id", "order_number", "days_since_prior_order").toPandas()
+    found = roles.orders(spark, str(tmp_path)).select("order_id", "eval_set", "order_number", "days_since_prior_order").toPandas()
     plain = base.toPandas().sort_values(["o_custkey", "o_orderdate", "o_orderkey"])
     plain["number"] = plain.groupby("o_custkey").cumcount() + 1
     plain["delay"] = plain.groupby("o_custkey")["o_orderdate"].diff().dt.days
     both = found.merge(plain, left_on="order_id", right_on="o_orderkey")
     assert len(both) == 600
     assert (both["order_number"] == both["number"]).all()
+    last = both["number"] == both.groupby("o_custkey")["number"].transform("max")
+    assert ((both["eval_set"] == "prior") == ~last).all()
     assert both["days_since_prior_order"].fillna(-1).eq(both["delay"].fillna(-1)).all()
 
 
