@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 MAX_LINES = 100_000
 
 
-def _by_part(lines: DataFrame, on: str, max_lines: int) -> DataFrame:
-    """Number the parts of orders with more than ``max_lines`` lines; every other line is in part 0."""
-    large = lines.groupBy(on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_lines)
-    parts = large.select(on, F.ceil(F.col("n") / max_lines).alias("__parts"))
-    part = F.pmod(F.xxhash64(*lines.columns), F.col("__parts"))
-    return lines.join(parts, on, "left").withColumn("part", F.coalesce(part, F.lit(0))).drop("__parts")
-
-
 def _arrays(lines: DataFrame, on: str, fields: Sequence[str], name: str, max_lines: int) -> DataFrame:
-    item = F.sort_array(F.collect_list(F.struct(*fields)))
-    return _by_part(lines, on, max_lines).groupBy(on, "part").agg(item.alias(name))
+    """One sorted array per key, or several for a key with more than ``max_lines`` lines.
+
+    Lines of such a key are dealt out by hash. Equal ones are counted first and dealt out in pieces, because their hash is the
+    same. Where no key is that large, adaptive execution drops the second branch.
+    """
+    item = F.struct(*fields)
+    sizes = lines.groupBy(on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_lines)
+    large = sizes.select(on, F.ceil(2 * F.col("n") / max_lines).alias("__parts"))
+    whole = lines.join(large, on, "left_anti").groupBy(on).agg(F.sort_array(F.collect_list(item)).alias(name))
+    piece = max(max_lines // 10, 1)
+    copies = lines.join(large, on).groupBy(on, "__parts", *fields).agg(F.count(F.lit(1)).alias("__c"))
+    pieces = copies.withColumn("__i", F.explode(F.sequence(F.lit(0), F.floor((F.col("__c") - 1) / piece))))
+    here = F.least(F.lit(piece), F.col("__c") - F.col("__i") * piece).cast("int")
+    part = F.pmod(F.xxhash64(*fields, "__i"), F.col("__parts"))
+    dealt = pieces.select(on, part.alias("__part"), F.array_repeat(item, here).alias("__items"))
+    split = dealt.groupBy(on, "__part").agg(F.sort_array(F.flatten(F.collect_list("__items"))).alias(name))
+    return whole.unionByName(split.drop("__part"))
 
 
 def nest_lines(
@@ -38,7 +45,7 @@ def nest_lines(
     task; flattening restores exactly the same lines.
     """
     none = F.array(F.struct(*[F.lit(None).cast(lines.schema[f].dataType).alias(f) for f in fields]))
-    joined = orders.join(_arrays(lines, on, fields, name, max_lines).drop("part"), on, "left")
+    joined = orders.join(_arrays(lines, on, fields, name, max_lines), on, "left")
     return joined.withColumn(name, F.coalesce(name, none))
 
 

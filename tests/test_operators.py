@@ -196,6 +196,15 @@ def test_a_large_order_is_split_without_loss(spark):
     assert set(rows(flatten(nested, "details"))) == set(data)
 
 
+def test_copies_of_one_line_are_split_too(spark):
+    orders = spark.createDataFrame([(1,)], "order_id int")
+    data = [(1, 9, 9)] * 400 + [(1, p, 1) for p in range(100)]
+    nested = nest_lines(orders, spark.createDataFrame(data, LINES), "order_id", ["product_id", "position"], max_lines=50)
+    sizes = [len(r["details"]) for r in nested.collect()]
+    assert sum(sizes) == 500 and max(sizes) <= 100
+    assert sorted(rows(flatten(nested, "details"))) == sorted(data)
+
+
 def test_flatten_drops_empty_and_null_arrays(spark):
     df = spark.createDataFrame([(1, []), (2, None), (3, [(7,)])], "id int, a array<struct<x: int>>")
     assert rows(flatten(df, "a")) == [(3, 7)]
