@@ -69,12 +69,12 @@ def exact_quantiles(
     """
     rows = df.select(*by, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     margin = 3 / accuracy
+    around = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     bounds = rows.groupBy(*by).agg(
-        F.percentile_approx("__v", [max(0.0, p - margin) for p in probs], accuracy).alias("lo"),
-        F.percentile_approx("__v", [min(1.0, p + margin) for p in probs], accuracy).alias("hi"),
-        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("__v", around, accuracy).alias("q"), F.count(F.lit(1)).alias("n")
     )
-    packed = bounds.select(*by, F.struct("lo", "hi", "n").alias("__b"))
+    low, high = F.slice("q", 1, len(probs)).alias("lo"), F.slice("q", len(probs) + 1, len(probs)).alias("hi")
+    packed = bounds.select(*by, F.struct(low, high, "n").alias("__b"))
     bounded = rows.join(packed, list(by)) if by else rows.withColumn("__b", packed.scalar())
 
     def place(i: int, p: float) -> Column:

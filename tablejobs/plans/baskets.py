@@ -103,11 +103,9 @@ def user_department_orders(lines: DataFrame, products: DataFrame, departments: D
     return once.withColumn("commande", F.lit(1))
 
 
-def user_dept_pivot(
-    lines: DataFrame, products: DataFrame, departments: DataFrame, max_columns: int = 30
-) -> DataFrame:
-    rows = user_department_orders(lines, products, departments)
-    return pivot_agg(rows, ["user_id"], "departement", "commande", "sum", max_columns)
+def user_dept_pivot(department_orders: DataFrame, max_columns: int = 30) -> DataFrame:
+    """The rows of ``user_department_orders``, best as a written table, with one column per department: they are read twice."""
+    return pivot_agg(department_orders, ["user_id"], "departement", "commande", "sum", max_columns)
 
 
 def dept_quartiles(users: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -107,7 +107,8 @@ _PIVOT = ", ".join(f"CAST(sum(CASE WHEN department = '{d}' THEN 1 END) AS BIGINT
     roles_sql(f"SELECT user_id, {_PIVOT} FROM (SELECT DISTINCT user_id, order_id, department FROM named) GROUP BY user_id"),
 )
 def user_dept_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.user_dept_pivot(_flat(spark, sf), *_dims(spark, sf))
+    rows = plan.user_department_orders(_flat(spark, sf), *_dims(spark, sf))
+    return plan.user_dept_pivot(materialize(rows, "users_commandes"))
 
 
 @query("dept_quartiles", roles_sql("SELECT * FROM cuts"))

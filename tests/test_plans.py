@@ -68,7 +68,7 @@ def test_counts_pivot_and_blanks(shop):
     flat = baskets.order_lines(orders, lines)
     counts = baskets.user_dept_counts(flat, products, departments, {"nb_food": ["dry goods"], "nb_babies": ["babies"]})
     assert rows(counts) == [("u", 2, 2), ("v", 1, 0), ("w", 1, 1)]
-    wide = baskets.user_dept_pivot(flat, products, departments)
+    wide = baskets.user_dept_pivot(baskets.user_department_orders(flat, products, departments))
     assert wide.columns == ["user_id", "babies", "dry_goods"]
     assert rows(wide) == [("u", 2, 2), ("v", None, 1), ("w", 1, 1)]
 
