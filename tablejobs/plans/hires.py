@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.functions import geohash
-from tablejobs.operators import hash_fraction, semi_in, top_names
+from tablejobs.operators import hash_fraction, top_names
 
 
 def after_date(hires: DataFrame, day: str) -> DataFrame:

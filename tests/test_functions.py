@@ -1,5 +1,4 @@
 import pytest
-from conftest import rows
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
