@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablejobs.llm import bpe, decontaminate, near_dup, pii, quality, url_rules
+from tablejobs.llm import bpe, decontaminate, lm, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc
 from tablejobs.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +57,55 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op5_repeated_passages")
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dup.repeated_passages(table(spark, sf_dir, "documents"))
+    listed = F.expr("array_join(transform(spans, s -> concat(s.first, ':', s.last)), ',')")
+    return found.withColumn("spans", listed)
+
+
+LATER = 5005  # a page is asked for again when about 500 more have been fetched
+OP6_SQL = f"""
+WITH p AS (SELECT page_id, url, substr(sha1(coalesce(html, '')), 1, 16) AS tag,
+  CASE WHEN strpos(url, '://') = 0 THEN NULL ELSE regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?', '') END AS rest FROM pages),
+q AS (SELECT page_id, url, tag, rest, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), ':(80|443)$', ''), '^www[0-9]*[.]', '') AS host,
+  regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+  list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*[?](.*)$', 1), '&'),
+    lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^(utm_[^=]*|ref|fbclid|gclid|sessionid|phpsessid)(=|$)'))) AS args FROM p),
+k AS (SELECT page_id, tag, CASE WHEN rest IS NULL THEN url ELSE host || path || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS url_key FROM q),
+best AS (SELECT v.page_id, v.url_key, v.tag, f.page_id AS source, f.tag AS source_tag,
+    row_number() OVER (PARTITION BY v.page_id ORDER BY f.page_id DESC NULLS LAST) AS rk
+  FROM k v LEFT JOIN k f ON v.url_key = f.url_key AND 10 * f.page_id < 10 * v.page_id + {LATER})
+SELECT 2 * page_id AS record_id, page_id, url_key, 'response' AS type, page_id AS source_page, 'full' AS status,
+  'content-type=text/html;date=' || 10 * page_id || ';etag="' || tag || '"' AS headers FROM k
+UNION ALL
+SELECT 2 * page_id + 1, page_id, url_key, 'revisit', CASE WHEN tag = source_tag THEN source END,
+  CASE WHEN source IS NULL THEN 'missing' WHEN tag = source_tag THEN 'resolved' ELSE 'changed' END,
+  CASE WHEN tag = source_tag THEN 'content-type=text/html;' ELSE '' END || 'date=' || (10 * page_id + {LATER}) || ';etag="' || tag || '"'
+    || CASE WHEN tag = source_tag THEN '' ELSE ';server=again' END
+FROM best WHERE rk = 1
+"""
+
+
+@_query("op6_warc_revisits", OP6_SQL)
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a full response and, later, as a revisit with the entity tag it had then."""
+    tag = F.substring(F.sha1(F.coalesce("html", F.lit(""))), 1, 16)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", tag.alias("digest"))
+    etag = "'etag', concat('\"', digest, '\"')"
+    first = pages.selectExpr(
+        "2 * page_id as record_id", "url", "10 * page_id as time", "'response' as type", "digest",
+        f"map({etag}, 'date', string(10 * page_id), 'content-type', 'text/html') as headers",
+    )
+    later = pages.selectExpr(
+        "2 * page_id + 1 as record_id", "url", f"10 * page_id + {LATER} as time", "'revisit' as type", "digest",
+        f"map({etag}, 'date', string(10 * page_id + {LATER}), 'server', 'again') as headers",
+    )
+    found = warc.resolve_revisits(first.unionByName(later))
+    listed = "array_join(transform(array_sort(map_entries(headers)), e -> concat(e.key, '=', e.value)), ';') as headers"
+    return found.selectExpr("record_id", "record_id div 2 as page_id", "url_key", "type", "source_id div 2 as source_page", "status", listed)
+
+
 _BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 OP7_SQL = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -81,6 +131,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+@_query("op8_lm_scores")
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.scores(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
+
+
+@_query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 # A word of another class than the library's: split after all other characters have become blanks.
 _WORDS = r"list_filter(string_split(regexp_replace(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '')"
 OP10_SQL = f"""
@@ -107,3 +169,11 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 @_query("op10_decontaminate", OP10_SQL)
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
