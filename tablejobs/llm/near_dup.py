@@ -290,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, of which one document of each group of near-duplicates stays: the one with the
-    smallest id. Of rows with the same id and words one stays; documents without words stay."""
+    smallest id. Of rows with the same id one stays if it has words; documents without words stay, and rows without an id."""
     found = written(near_duplicates(docs, id_col, text_col), "near")
     repeated = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
