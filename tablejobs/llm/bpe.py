@@ -16,11 +16,12 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 END = "\n"  # stands for the word end in the automaton; no byte is written so
-MEMO_WORDS = MEMO_PARTS = 500_000  # words and pieces whose ids a worker keeps; a full memory is emptied and filled anew
+MEMO_WORDS = MEMO_PARTS = 150_000  # words and pieces whose ids a worker keeps; a full memory is emptied and filled anew
 MEMO_LENGTH = 64
 PLAIN = "\u2500"  # texts below this code point are normalised here, others by the tokenizers library
 
@@ -209,7 +210,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for batch in found:
-            ids = pa.array([tool.encode(t.as_py()) for t in batch["text"]], pa.list_(pa.int32()))
+            ids = pa.array([np.array(tool.encode(t.as_py()), np.int32) for t in batch["text"]], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], ids], ["doc_id", "ids"])
 
     given = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
