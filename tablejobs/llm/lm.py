@@ -20,6 +20,7 @@ from tablejobs.llm.shared import written
 
 ORDER = 3
 BACKOFF = 0.4
+FLUSH_ROWS = 50_000  # rows that a task holds before it passes them on
 
 
 def _own_counts(hashes: np.ndarray) -> np.ndarray:
@@ -30,9 +31,14 @@ def _own_counts(hashes: np.ndarray) -> np.ndarray:
 
 def _grams(order: int):
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed() -> pa.RecordBatch:
+            ids = batch["doc_id"].take(pa.array(rows, pa.int64()))
+            flat = [pa.array(np.concatenate(p).astype(np.int64) if p else [], pa.int64()) for p in parts]
+            return pa.RecordBatch.from_arrays([ids, *flat], _names(order))
+
         for batch in found:
             parts: list[list[np.ndarray]] = [[] for _ in range(2 + 4 * order)]
-            rows = []
+            rows: list[int] = []
             for i, value in enumerate(batch["text"]):
                 data = T.lowered(value.as_py())
                 words = T.word_hashes(data, *T.word_places(data, T.NOT_SPACE))
@@ -58,9 +64,10 @@ def _grams(order: int):
                 rows += [i] * len(first)
                 for p, c in zip(parts, (level, np.zeros(0), *columns), strict=True):
                     p.append(c[first] if len(c) else times)
-            ids = batch["doc_id"].take(pa.array(rows, pa.int64()))
-            flat = [pa.array(np.concatenate(p).astype(np.int64) if p else [], pa.int64()) for p in parts]
-            yield pa.RecordBatch.from_arrays([ids, *flat], _names(order))
+                if len(rows) >= FLUSH_ROWS:
+                    yield flushed()
+                    parts, rows = [[] for _ in range(2 + 4 * order)], []
+            yield flushed()
 
     return batches
 
