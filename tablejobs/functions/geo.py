@@ -13,7 +13,8 @@ def geohash(lon: Column | str, lat: Column | str, length: int) -> Column:
     """First ``length`` geohash characters of a point in degrees. A shorter hash is a prefix of a longer one.
 
     Each coordinate becomes the number of its grid cell; the bits of the two numbers alternate, longitude first, and every
-    five bits select one character.
+    five bits select one character. A point with a null coordinate has no hash; one outside the degrees of the globe is an
+    error.
     """
     bits = 5 * length
     sizes = {"lon": (bits + 1) // 2, "lat": bits // 2}
@@ -21,7 +22,9 @@ def geohash(lon: Column | str, lat: Column | str, length: int) -> Column:
     def cell(value: Column | str, span: float, size: int) -> Column:
         value = F.col(value) if isinstance(value, str) else value
         scaled = F.floor((value + span / 2) / span * 2**size)
-        return F.least(F.greatest(scaled, F.lit(0)), F.lit(2**size - 1))
+        outside = F.raise_error(F.concat(F.lit("no such coordinate: "), value.cast("string"))).cast("long")
+        inside = F.when(value.between(-span / 2, span / 2), F.least(scaled, F.lit(2**size - 1))).otherwise(outside)
+        return F.when(value.isNotNull(), inside)
 
     cells = {"lon": cell(lon, 360.0, sizes["lon"]), "lat": cell(lat, 180.0, sizes["lat"])}
 

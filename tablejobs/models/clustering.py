@@ -33,7 +33,10 @@ class Segments:
 
 
 def fit_segments(df: DataFrame, features: Sequence[str], k: int, seed: int = 0) -> Segments:
+    """K-means over the standardised features; a missing number counts as the mean, as it does in ``Segments.assign``."""
     numbers = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    means = numbers.agg(*[F.avg(f).alias(f) for f in features]).first()
+    numbers = numbers.fillna({f: means[f] or 0.0 for f in features})
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),

@@ -38,8 +38,9 @@ class DescentModel:
             total = total + F.lit(weight) * F.coalesce(F.col(column).cast("double"), F.lit(self.means[column]))
         joined = df
         for column, weights in self.categories.items():
-            table = df.sparkSession.createDataFrame(list(weights.items()), f"{column} string, __w_{column} double")
-            joined = joined.join(F.broadcast(table), column, "left")
+            table = df.sparkSession.createDataFrame(list(weights.items()), f"__c_{column} string, __w_{column} double")
+            known = F.coalesce(F.col(column).cast("string"), F.lit("")) == F.col(f"__c_{column}")  # as in the fit
+            joined = joined.join(F.broadcast(table), known, "left")
             total = total + F.coalesce(F.col(f"__w_{column}"), F.lit(0.0))
         result = total if self.loss == "squared" else 1 / (1 + F.exp(-total))
         return joined.select(*df.columns, result.alias(name))
@@ -67,8 +68,10 @@ def fit_descent(
 
     Equal feature rows are merged first: their number and the sums of the label are all that either loss needs, so with
     categorical features the steps run over the combinations, not over the rows. One step is one aggregate, from which only
-    the gradient reaches the driver.
+    the gradient reaches the driver. Rows without label teach nothing. A loss that rises is an error: the learn rate is too
+    large for these columns.
     """
+    df = df.filter(F.col(label).isNotNull())
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     stats = df.agg(
         F.sum(w).alias("n"),
@@ -119,6 +122,8 @@ def fit_descent(
         for _ in range(max_iter):
             sums = _step(rows, weights, loss)
             history.append(sums.get(LOSS, 0.0) / stats["n"])
+            if len(history) > 1 and not history[-1] <= history[-2] * (1 + 1e-9) + 1e-12:
+                raise ValueError(f"the loss rises from {history[-2]} to {history[-1]}: the learn rate is too large")
             if len(history) > 1 and history[-2] - history[-1] < min_rel_progress * abs(history[-2]):
                 break
             slope = [sums.get(i, 0.0) / stats["n"] for i in range(width + 1)]

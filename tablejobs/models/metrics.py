@@ -27,12 +27,12 @@ def _computed(result: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def evaluate_regression(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: mean and median absolute error, mean squared error and R².
+    """One row: mean and median absolute error, mean squared error and R², over the rows with label and prediction.
 
     Computed at once, over two kept columns, so that the predictions are made only once.
     """
     error = F.col(label) - F.col(prediction)
-    rows = df.select(F.col(label).alias("y"), error.alias("e")).withColumn("a", F.abs("e")).persist()
+    rows = df.select(F.col(label).alias("y"), error.alias("e")).filter("e is not null").withColumn("a", F.abs("e")).persist()
     sums = rows.agg(
         F.avg("a").alias("mean_absolute_error"),
         F.avg(F.col("e") * F.col("e")).alias("mean_squared_error"),

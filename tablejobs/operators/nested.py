@@ -7,46 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LINES = 100_000
 
+def _arrays(lines: DataFrame, on: str, fields: Sequence[str], name: str) -> DataFrame:
+    """One sorted array per key: one scan and one shuffle of the lines."""
+    return lines.groupBy(on).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
-def _arrays(lines: DataFrame, on: str, fields: Sequence[str], name: str, max_lines: int) -> DataFrame:
-    """One sorted array per key, or several for a key with more than ``max_lines`` lines.
 
-    Lines of such a key are dealt out by hash. Equal ones are counted first and dealt out in pieces, because their hash is the
-    same. Where no key is that large, adaptive execution drops the second branch.
-    """
-    item = F.struct(*fields)
-    sizes = lines.groupBy(on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_lines)
-    large = sizes.select(on, F.ceil(2 * F.col("n") / max_lines).alias("__parts"))
-    whole = lines.join(large, on, "left_anti").groupBy(on).agg(F.sort_array(F.collect_list(item)).alias(name))
-    piece = max(max_lines // 10, 1)
-    copies = lines.join(large, on).groupBy(on, "__parts", *fields).agg(F.count(F.lit(1)).alias("__c"))
-    pieces = copies.withColumn("__i", F.explode(F.sequence(F.lit(0), F.floor((F.col("__c") - 1) / piece))))
-    here = F.least(F.lit(piece), F.col("__c") - F.col("__i") * piece).cast("int")
-    part = F.pmod(F.xxhash64(*fields, "__i"), F.col("__parts"))
-    dealt = pieces.select(on, part.alias("__part"), F.array_repeat(item, here).alias("__items"))
-    split = dealt.groupBy(on, "__part").agg(F.sort_array(F.flatten(F.collect_list("__items"))).alias(name))
-    return whole.unionByName(split.drop("__part"))
-
-
-def nest_lines(
-    orders: DataFrame,
-    lines: DataFrame,
-    on: str,
-    fields: Sequence[str],
-    name: str = "details",
-    max_lines: int = MAX_LINES,
-) -> DataFrame:
+def nest_lines(orders: DataFrame, lines: DataFrame, on: str, fields: Sequence[str], name: str = "details") -> DataFrame:
     """Orders with an array of their lines, sorted by ``fields``, as by ``ARRAY_AGG(STRUCT(…))`` over a left join.
 
-    An order without lines keeps one element of nulls. Lines are collected before the join, on the join's own key. An order
-    with more than ``max_lines`` lines comes back as several rows, each with a share of them, because no array may outgrow a
-    task; flattening restores exactly the same lines.
+    One row per order at any size; an order without lines keeps one element of nulls. Lines are collected before the join, on
+    the join's own key. An array is one cell, so jobs that only need the lines should read them as rows.
     """
     none = F.array(F.struct(*[F.lit(None).cast(lines.schema[f].dataType).alias(f) for f in fields]))
-    joined = orders.join(_arrays(lines, on, fields, name, max_lines), on, "left")
-    return joined.withColumn(name, F.coalesce(name, none))
+    return orders.join(_arrays(lines, on, fields, name), on, "left").withColumn(name, F.coalesce(name, none))
 
 
 def flatten(df: DataFrame, array_col: str) -> DataFrame:
@@ -55,10 +29,7 @@ def flatten(df: DataFrame, array_col: str) -> DataFrame:
     return df.select(*others, F.explode(array_col).alias("__e")).select(*others, "__e.*")
 
 
-def lines_json(
-    lines: DataFrame, on: str, fields: Sequence[str], name: str, pretty: bool = False, max_lines: int = MAX_LINES
-) -> DataFrame:
-    """The lines of each key as one JSON array ordered by ``fields``; keys above ``max_lines`` give one array per part."""
+def lines_json(lines: DataFrame, on: str, fields: Sequence[str], name: str, pretty: bool = False) -> DataFrame:
+    """The lines of each key as one JSON array ordered by ``fields``."""
     options = {"ignoreNullFields": "false", "pretty": str(pretty).lower()}
-    nested = _arrays(lines, on, fields, "__items", max_lines)
-    return nested.select(on, F.to_json("__items", options).alias(name))
+    return _arrays(lines, on, fields, "__items").select(on, F.to_json("__items", options).alias(name))

@@ -16,15 +16,16 @@ def pivot_agg(
     pivot_col: str,
     value_col: str,
     agg: str = "sum",
-    max_columns: int = 30,
+    max_columns: int | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """One output column per value of ``pivot_col``, in order of value; an empty cell is null.
 
-    More than ``max_columns`` values is an error, never a silent cut. Null pivot values make no column.
+    More values than ``max_columns`` (None: any number) is an error, never a silent cut. Null pivot values make no column.
     """
-    found = df.select(pivot_col).filter(F.col(pivot_col).isNotNull()).distinct().limit(max_columns + 1).collect()
-    if len(found) > max_columns:
+    values = df.select(pivot_col).filter(F.col(pivot_col).isNotNull()).distinct()
+    found = (values if max_columns is None else values.limit(max_columns + 1)).collect()  # one per column of the result
+    if max_columns is not None and len(found) > max_columns:
         raise ValueError(f"{pivot_col} has more than {max_columns} values")
     values = sorted(row[0] for row in found)
     wide = df.groupBy(*row_ids).pivot(pivot_col, values).agg(AGGREGATES[agg.lower()](value_col))

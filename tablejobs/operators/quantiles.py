@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablejobs.operators.joins import join_null_safe
 from tablejobs.operators.pivoting import unpivot
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -75,7 +76,7 @@ def exact_quantiles(
     )
     low, high = F.slice("q", 1, len(probs)).alias("lo"), F.slice("q", len(probs) + 1, len(probs)).alias("hi")
     packed = bounds.select(*by, F.struct(low, high, "n").alias("__b"))
-    bounded = rows.join(packed, list(by)) if by else rows.withColumn("__b", packed.scalar())
+    bounded = join_null_safe(rows, packed, list(by)) if by else rows.withColumn("__b", packed.scalar())
 
     def place(i: int, p: float) -> Column:
         inside = (F.col("__b.n") <= accuracy) | F.col("__v").between(F.col("__b.lo")[i], F.col("__b.hi")[i])

@@ -9,13 +9,14 @@ DIGITS = 3  # hexadecimal digits per count: 4,096 equal classes
 
 
 def _digest(key: str, seed: str) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
+    """Null keys count as the empty text, so that every row has a place."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)))
 
 
 def _below(key: str, fraction: float, seed: str) -> Column:
     if fraction >= 1:
         return F.lit(True)
-    return F.substring(_digest(key, seed), 1, 4) < f"{round(fraction * 65536):04x}"
+    return F.substring(_digest(key, seed), 1, 15) < f"{max(0, round(fraction * 16**15)):015x}"
 
 
 def hash_fraction(df: DataFrame, key: str, fraction: float, seed: str = "") -> DataFrame:

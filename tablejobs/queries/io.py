@@ -13,6 +13,7 @@ from tablejobs.queries import roles
 from tablejobs.queries.registry import query
 from tablejobs.queries.roles import roles_sql, table
 from tablejobs.session import work_dir
+from tablejobs.sources.files import NULL
 
 
 @query("csv_load_inferred", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
@@ -20,7 +21,7 @@ def csv_load_inferred(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     path = sources.write_csv(part, work_dir(spark, "csv"))
     # Detection picks the narrowest type that fits, so the wanted types are restored by name.
-    loaded = sources.read_csv_inferred(spark, path)
+    loaded = sources.read_csv_inferred(spark, path, null=NULL)
     return loaded.select(*[F.col(f.name).cast(f.dataType) for f in part.schema])
 
 
@@ -28,7 +29,15 @@ def csv_load_inferred(spark: SparkSession, sf: str) -> DataFrame:
 def csv_load_schema(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer")
     path = sources.write_csv(customer, work_dir(spark, "csv"))
-    return sources.read_csv(spark, path, customer.schema)
+    return sources.read_csv(spark, path, customer.schema, null=NULL)
+
+
+@query("csv_text_roundtrip", "SELECT * FROM documents")
+def csv_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Text with quotes, line breaks and blanks at its ends, written and read back."""
+    documents = table(spark, sf, "documents")
+    path = sources.write_csv(documents, work_dir(spark, "csv"))
+    return sources.read_csv(spark, path, documents.schema, multi_line=True, null=NULL)
 
 
 @query(

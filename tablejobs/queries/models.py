@@ -41,7 +41,7 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 @query(
     "train_eval_split",
-    roles_sql("SELECT hire_id, substr(md5(concat(hire_id, 'split')), 1, 4) < '3333' AS is_eval FROM hires"),
+    roles_sql("SELECT hire_id, substr(md5(concat(hire_id, 'split')), 1, 15) < '333333333333340' AS is_eval FROM hires"),
 )
 def train_eval_split(spark: SparkSession, sf: str) -> DataFrame:
     return hash_split(roles.hires(spark, sf).select("hire_id"), "hire_id", 0.2, "split")

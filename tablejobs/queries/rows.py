@@ -231,7 +231,7 @@ def filter_is_null(spark: SparkSession, sf: str) -> DataFrame:
     "filter_random_fraction",
     roles_sql("""
     SELECT CASE WHEN duration > 100 THEN 'long' ELSE 'court' END AS type_trajet, count(*) AS n FROM hires
-    WHERE start_date::DATE > DATE '2024-01-10' AND substr(md5(concat(hire_id, 'trip')), 1, 4) < '199a' GROUP BY 1
+    WHERE start_date::DATE > DATE '2024-01-10' AND substr(md5(concat(hire_id, 'trip')), 1, 15) < '1999999999999a0' GROUP BY 1
     """),
 )
 def filter_random_fraction(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,17 +20,12 @@ SETTINGS = {
 }
 
 SHUFFLE_BYTES = 512 * 1024 * 1024  # input per shuffle partition; pruned columns make it less on the wire
-MAX_PARTITIONS = 20_000  # beyond this the shuffle blocks of a wide stage become too small and too many
-
-_sizes: dict[str, int] = {}
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:
     """Size of the Parquet files below a folder, from their listing; no file is opened."""
-    if folder not in _sizes:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        _sizes[folder] = files.load(folder).agg(F.sum("length")).first()[0] or 0
-    return _sizes[folder]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return files.load(folder).agg(F.sum("length")).first()[0] or 0
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -41,7 +36,7 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
-        wanted = min(-(-input_bytes // SHUFFLE_BYTES), MAX_PARTITIONS)
+        wanted = -(-input_bytes // SHUFFLE_BYTES)
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark

@@ -6,18 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_csv_inferred(spark: SparkSession, path: str, sampling: float = 1.0) -> DataFrame:
-    """CSV with one header row, column types detected. Detection reads the file once more; ``sampling`` shortens that pass."""
-    return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling)
+NULL = "\\N"  # how written files show a null; the empty text stays empty
+DIALECT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a given column list; the header row is skipped."""
-    return spark.read.schema(schema).csv(path, header=True)
+def read_csv_inferred(
+    spark: SparkSession, path: str, sampling: float = 1.0, multi_line: bool = False, null: str | None = None
+) -> DataFrame:
+    """CSV with one header row, column types detected. Detection reads the file once more; ``sampling`` shortens that pass.
+    ``multi_line`` and ``null`` as for ``read_csv``."""
+    options = {} if null is None else {"nullValue": null, "emptyValue": ""}
+    return spark.read.csv(path, inferSchema=True, samplingRatio=sampling, mode="FAILFAST", multiLine=multi_line, **DIALECT, **options)
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False, null: str | None = None
+) -> DataFrame:
+    """CSV with a given column list; the header row is skipped, quotes in quoted fields are doubled, a bad row is an error.
+
+    With ``multi_line`` quoted fields may hold line breaks; such a file is read by one task. ``null`` is the text that stands
+    for a null (``NULL`` in files of ``write_csv``); without it empty fields are null.
+    """
+    options = {} if null is None else {"nullValue": null, "emptyValue": ""}
+    return spark.read.schema(schema).csv(path, mode="FAILFAST", multiLine=multi_line, **DIALECT, **options)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.csv(path, header=True)
+    """CSV that ``read_csv(…, multi_line=True, null=NULL)`` reads back unchanged."""
+    df.write.csv(path, nullValue=NULL, emptyValue="", quoteAll=True, **DIALECT)
     return path
 
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 10 * 1024 * 1024  # of the records in memory, text included
 
 
 def local_table(spark: SparkSession, records: pd.DataFrame) -> DataFrame:
@@ -16,8 +16,8 @@ def local_table(spark: SparkSession, records: pd.DataFrame) -> DataFrame:
 
 
 def lookup_join(facts: DataFrame, records: pd.DataFrame, on: str, how: str = "left") -> DataFrame:
-    """Join local records onto a fact table. Their row count is known here, so only a short list is broadcast."""
+    """Join local records onto a fact table. Their size in bytes is known here, so only a small list is broadcast."""
     lookup = local_table(facts.sparkSession, records)
-    if len(records) <= BROADCAST_ROWS:
+    if records.memory_usage(deep=True).sum() <= BROADCAST_BYTES:
         lookup = F.broadcast(lookup)
     return facts.join(lookup, on, how)

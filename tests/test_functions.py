@@ -36,3 +36,10 @@ def test_text(spark):
 def test_day_type(spark, day, kind):
     df = spark.sql(f"SELECT timestamp '{day} 07:30:00' AS ts")
     assert tuple(df.select(day_type("ts"), hour_text("ts")).first()) == (kind, "07")
+
+
+def test_points_without_or_beyond_coordinates(spark):
+    df = spark.createDataFrame([(None, 1.0), (1.0, None)], "lon double, lat double")
+    assert [r[0] for r in df.select(geohash("lon", "lat", 6)).collect()] == [None, None]
+    with pytest.raises(Exception, match="no such coordinate"):
+        spark.createDataFrame([(0.0, 95.0)], "lon double, lat double").select(geohash("lon", "lat", 6)).collect()

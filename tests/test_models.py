@@ -244,3 +244,23 @@ def test_many_categories_are_hashed(spark, monkeypatch):
     model = training.fit(df, "y", training.linear(l2=1e-6), categorical=["many", "few"])
     error = metrics.evaluate_regression(training.predict(model, df), "y", "prediction").first()
     assert error["r2_score"] > 0.99
+
+
+def test_regression_metrics_leave_out_rows_without_prediction(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0), (1000.0, None)], "y double, p double")
+    assert metrics.evaluate_regression(df, "y", "p").first()["r2_score"] == 0.0
+
+
+def test_descent_without_labels_null_categories_and_rising_loss(spark):
+    df = spark.createDataFrame([("a", 10.0), ("a", None), (None, 5.0), (None, 5.0), ("a", 10.0)], "c string, y double")
+    model = fit_descent(df, "y", ["c"], learn_rate=0.5, max_iter=200, min_rel_progress=0.0)
+    found = {r["c"]: round(r["prediction"], 2) for r in model.transform(df).collect()}
+    assert found == {"a": 10.0, None: 5.0}
+    with pytest.raises(ValueError, match="learn rate"):
+        fit_descent(spark.range(50).selectExpr("id", "3.0 * id as y"), "y", [], ["id"], learn_rate=5.0)
+
+
+def test_clusters_take_missing_numbers_as_the_mean(spark):
+    df = spark.createDataFrame([(0.0, 1.0), (None, 1.1), (10.0, 9.0), (10.1, None)], "a double, b double")
+    fitted = clustering.fit_segments(df, ["a", "b"], 2)
+    assert fitted.assign(df).count() == 4

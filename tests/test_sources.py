@@ -5,7 +5,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tablejobs import sources
-from tablejobs.session import MAX_PARTITIONS, SETTINGS, SHUFFLE_BYTES, folder_bytes, tune, work_dir
+from tablejobs.session import SETTINGS, SHUFFLE_BYTES, folder_bytes, tune, work_dir
+from tablejobs.sources.files import NULL
 
 
 def test_work_dir_is_new_and_shared(spark):
@@ -21,7 +22,7 @@ def test_tune_only_raises_the_shuffle_partitions(spark):
         tune(spark, input_bytes=100 * SHUFFLE_BYTES)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
         tune(spark, input_bytes=10**15)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(MAX_PARTITIONS)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(-(-(10**15) // SHUFFLE_BYTES))
         assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -36,8 +37,24 @@ def test_folder_size_is_that_of_its_files(spark, tmp_path):
 def test_csv_both_ways(spark):
     df = spark.createDataFrame([(1, "a,b", 1.5), (2, None, None)], "id int, name string, x double")
     path = sources.write_csv(df, work_dir(spark, "csv"))
-    assert sources.read_csv_inferred(spark, path).dtypes == [("id", "int"), ("name", "string"), ("x", "double")]
-    assert rows(sources.read_csv(spark, path, df.schema)) == rows(df)
+    assert sources.read_csv_inferred(spark, path, null=NULL).dtypes == [("id", "int"), ("name", "string"), ("x", "double")]
+    assert rows(sources.read_csv(spark, path, df.schema, null=NULL)) == rows(df)
+
+
+def test_csv_keeps_quotes_breaks_blanks_and_empties(spark):
+    texts = ['say "hi", ok', "two\nlines", " blanks ", "", None, "back\\slash", '"', ","]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, name string")
+    path = sources.write_csv(df, work_dir(spark, "csv"))
+    assert rows(sources.read_csv(spark, path, df.schema, multi_line=True, null=NULL)) == rows(df)
+
+
+def test_ordinary_exported_csv_and_a_bad_row(spark, tmp_path):
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text('id,name\n1,"say ""hi"", ok"\n2,\n')
+    bad.write_text("id,name\n1,a\nx,b\n")
+    assert rows(sources.read_csv(spark, str(good), "id int, name string")) == [(1, 'say "hi", ok'), (2, None)]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        sources.read_csv(spark, str(bad), "id int, name string").collect()
 
 
 def test_nested_json_keeps_types_and_nulls(spark):
@@ -56,7 +73,7 @@ def test_only_a_short_list_is_broadcast(spark, plan, monkeypatch):
     facts = spark.range(10).withColumnRenamed("id", "k")
     records = pd.DataFrame({"k": [1, 2], "v": ["a", "b"]})
     assert "BroadcastHashJoin" in plan(sources.lookup_join(facts, records, "k"))
-    monkeypatch.setattr("tablejobs.sources.local.BROADCAST_ROWS", 1)
+    monkeypatch.setattr("tablejobs.sources.local.BROADCAST_BYTES", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "Broadcast" not in plan(sources.lookup_join(facts, records, "k"))
