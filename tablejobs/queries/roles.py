@@ -136,6 +136,7 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+USER_GROUPS = ("economy", "large", "medium", "promo", "others")
 ROLES_SQL = """
 WITH numbered AS (
   SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate AS d,
@@ -162,9 +163,7 @@ b_products AS (
 train_lines AS (SELECT l.* FROM b_lines l WHERE order_id IN (SELECT order_id FROM b_orders WHERE eval_set = 'train')),
 prior_lines AS (SELECT l.* FROM b_lines l WHERE order_id IN (SELECT order_id FROM b_orders WHERE eval_set = 'prior')),
 scope AS (SELECT * FROM b_orders WHERE user_id IN (SELECT user_id FROM b_orders WHERE eval_set = 'train')),
-scope_lines AS (
-  SELECT a.* FROM train_lines a JOIN scope b ON a.order_id = b.order_id
-  UNION ALL SELECT c.* FROM prior_lines c JOIN scope d ON c.order_id = d.order_id),
+scope_lines AS (SELECT * FROM b_lines WHERE order_id IN (SELECT order_id FROM scope WHERE eval_set IN ('prior', 'train'))),
 flat AS (
   SELECT s.order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, days_since_prior_order,
          product_id, add_to_cart_order, reordered
@@ -173,14 +172,11 @@ named AS (
   SELECT f.*, p.product_name, d.department, p.brand = 'Brand#13' AS is_target
   FROM flat f LEFT JOIN b_products p ON f.product_id = p.product_id
   LEFT JOIN b_departments d ON p.department_id = d.department_id),
+user_groups AS (
+  SELECT DISTINCT user_id, order_id, CASE WHEN department IN ('small', 'standard') THEN 'others' ELSE department END AS grp FROM named),
 users AS (
-  SELECT user_id,
-    count(DISTINCT CASE WHEN department = 'economy' THEN order_id END) AS nb_commandes_economy,
-    count(DISTINCT CASE WHEN department = 'large' THEN order_id END) AS nb_commandes_large,
-    count(DISTINCT CASE WHEN department = 'medium' THEN order_id END) AS nb_commandes_medium,
-    count(DISTINCT CASE WHEN department = 'promo' THEN order_id END) AS nb_commandes_promo,
-    count(DISTINCT CASE WHEN department IN ('small', 'standard') THEN order_id END) AS nb_commandes_others
-  FROM named GROUP BY user_id),
+  SELECT user_id, """ + ", ".join(f"count(*) FILTER (WHERE grp = '{g}') AS nb_commandes_{g}" for g in USER_GROUPS) + """
+  FROM user_groups GROUP BY user_id),
 long AS (
   SELECT 'nb_commandes_economy' AS measure, nb_commandes_economy AS v FROM users
   UNION ALL SELECT 'nb_commandes_large', nb_commandes_large FROM users
