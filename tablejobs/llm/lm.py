@@ -1,9 +1,11 @@
 """Language-model scores with stupid backoff, computed by joins.
 
-The corpus is its own training text, each document left out of the counts it is scored with. Every distinct n-gram of a
-document is a row with its hash; counts of all orders are tables partitioned by that hash; the rows are joined to the table of
-the highest order, those that no other document has go on to the next lower one with ``BACKOFF`` as factor, and the logarithms
-are summed by document. Sums are partial before each shuffle, and adaptive execution splits the partitions of frequent n-grams.
+The corpus is its own training text, each document left out of the counts it is scored with. Documents lie in blocks of about
+``BLOCK_BYTES``, written once. Each block sends its distinct n-grams of all orders with their counts, packed by range of the
+hash. The count table of a range is their sum; joined to them it gives each block the counts of those n-grams that other blocks
+have too. A block knows the counts of all others by itself, so n-grams that occur once, most of them, travel once. The
+logarithms are then summed by document, block by block. A frequent n-gram is one entry for each block, not for each document,
+and the number of ranges grows with the corpus, so that a range stays small.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,19 @@ from tablejobs.llm.shared import written
 
 ORDER = 3
 BACKOFF = 0.4
-FLUSH_ROWS = 50_000  # rows that a task holds before it passes them on
+BLOCK_BYTES = 4_000_000  # of text in a block, besides its last document; what a task holds at a time
+PART_GRAMS = 100_000  # n-grams of the corpus, repeats included, for each range of hashes
+FLUSH_GRAMS = 200_000  # passed on together
+
+
+def _words(value: str | None) -> np.ndarray:
+    data = T.lowered(value)
+    return T.word_hashes(data, *T.word_places(data, T.NOT_SPACE))
+
+
+def _grams(words: np.ndarray, order: int) -> list[np.ndarray]:
+    """Hashes of the n-grams of each order up to ``order``, empty where the text is shorter."""
+    return [T.ngram_hashes(words, k) if len(words) >= k else np.zeros(0, T.U64) for k in range(1, order + 1)]
 
 
 def _own_counts(hashes: np.ndarray) -> np.ndarray:
@@ -29,91 +44,129 @@ def _own_counts(hashes: np.ndarray) -> np.ndarray:
     return counts[inverse]
 
 
-def _grams(order: int):
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flushed() -> pa.RecordBatch:
-            ids = batch["doc_id"].take(pa.array(rows, pa.int64()))
-            flat = [pa.array(np.concatenate(p).astype(np.int64) if p else [], pa.int64()) for p in parts]
-            return pa.RecordBatch.from_arrays([ids, *flat], _names(order))
+def _blocks(block_bytes: int):
+    """Rows with their block: runs of rows of one task."""
 
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = TaskContext.get().partitionId() << 32, 0
         for batch in found:
-            parts: list[list[np.ndarray]] = [[] for _ in range(2 + 4 * order)]
-            rows: list[int] = []
-            for i, value in enumerate(batch["text"]):
+            blocks, counts = [], []
+            for value in batch["text"]:
                 data = T.lowered(value.as_py())
-                words = T.word_hashes(data, *T.word_places(data, T.NOT_SPACE))
-                if not len(words):
-                    continue
-                n = len(words)
-                level = np.minimum(np.arange(n) + 1, order)
-                columns = []
-                for k in range(1, order + 1):
-                    # For each place the k-gram that ends there and its context, with their counts in this document.
-                    own = np.zeros((4, n), np.int64)
-                    if n >= k:
-                        gram = T.ngram_hashes(words, k)
-                        own[0, k - 1 :], own[2, k - 1 :] = gram.view(np.int64), _own_counts(gram)
-                        if k > 1:
-                            context = T.ngram_hashes(words, k - 1)
-                            own[1, k - 1 :], own[3, k - 1 :] = context.view(np.int64)[:-1], _own_counts(context)[:-1]
-                    columns += list(own)
-                key = columns[4 * (order - 1)].copy()
-                short = min(n, order - 1)
-                key[:short] = np.arange(short)  # the first words have shorter grams
-                _, first, times = np.unique(key, return_index=True, return_counts=True)
-                rows += [i] * len(first)
-                for p, c in zip(parts, (level, np.zeros(0), *columns), strict=True):
-                    p.append(c[first] if len(c) else times)
-                if len(rows) >= FLUSH_ROWS:
-                    yield flushed()
-                    parts, rows = [[] for _ in range(2 + 4 * order)], []
-            yield flushed()
+                if size and size + len(data) > block_bytes:
+                    block, size = block + 1, 0
+                size += len(data)
+                blocks.append(block)
+                counts.append(len(T.word_places(data, T.NOT_SPACE)[0]))
+            columns = [pa.array(blocks, pa.int64()), pa.array(counts, pa.int64()), batch["doc_id"], batch["text"]]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "n_words", "doc_id", "text"])
 
     return batches
 
 
-def _names(order: int) -> list[str]:
-    return ["row", "level", "n", *(f"{name}{k}" for k in range(1, order + 1) for name in ("gram", "context", "own", "context_own"))]
+def _block_counts(order: int, parts: int):
+    """(part, block, grams, counts) of each block: its distinct n-grams in the order of their hashes, cut into ``parts`` ranges."""
+    width = T.U64((1 << 64) // parts + 1 if parts > 1 else (1 << 64) - 1)
+
+    def counted(block: int, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        grams, counts = np.unique(np.concatenate(found), return_counts=True)
+        part = (grams // width).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for lot in np.array_split(np.arange(len(cuts) + 1), len(grams) // FLUSH_GRAMS + 1):
+            edges = np.concatenate([[0], cuts, [len(grams)]])[lot[0] : lot[-1] + 2] if len(grams) and len(lot) else []
+            spans = list(zip(edges[:-1], edges[1:], strict=True))
+            columns = [
+                pa.array([part[i] for i, _ in spans], pa.int64()),
+                pa.array([block] * len(spans), pa.int64()),
+                pa.array([grams[i:j].tobytes() for i, j in spans], pa.binary()),
+                pa.array([counts[i:j].astype(np.int64).tobytes() for i, j in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "block", "grams", "counts"])
 
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in found:
+            for block, value in zip(batch["block"].to_pylist(), batch["text"], strict=True):
+                if block != now and held:
+                    yield from counted(now, held)
+                    held = []
+                now = block
+                held += _grams(_words(value.as_py()), order)
+        if held:
+            yield from counted(now, held)
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+    return batches
+
+
+def _unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(value, kind) for value in column.to_pylist()]
+
+
+def _shared(found: pa.Table) -> pa.Table:
+    """The count table of one range of hashes, joined to the blocks' n-grams: those that a block does not have alone."""
+    grams, counts = _unpacked(found["grams"], np.uint64), _unpacked(found["counts"], np.int64)
+    _, place = np.unique(np.concatenate(grams), return_inverse=True)
+    own = np.concatenate(counts)
+    times = np.zeros(len(own), np.int64)
+    np.add.at(times, place, own)
+    times = times[place]
+    more, ends = times > own, np.cumsum([len(g) for g in grams])
+    kept = [(g[m].tobytes(), t[m].tobytes()) for g, t, m in zip(grams, np.split(times, ends[:-1]), np.split(more, ends[:-1]), strict=True)]
+    columns = [found["block"], pa.array([g for g, _ in kept], pa.binary()), pa.array([t for _, t in kept], pa.binary())]
+    return pa.Table.from_arrays(columns, ["block", "grams", "times"])
+
+
+def _log_score(words: int, totals: list[np.ndarray], own: list[np.ndarray], corpus: int) -> float:
+    """Sum over the words of one document; ``totals`` and ``own`` are the counts of its n-grams, by order."""
+    score, open_places = 0.0, np.arange(words)
+    for k in range(len(totals), 0, -1):
+        # The k-gram that ends at place j is number j - k + 1; places before k - 1 begin at a lower order.
+        at = open_places[open_places >= k - 1]
+        others = totals[k - 1][at - k + 1] - own[k - 1][at - k + 1]
+        backed = np.minimum(at + 1, len(totals)) - k
+        if k > 1:
+            seen = others > 0
+            before = at[seen] - k + 1
+            chance = others[seen] / (totals[k - 2][before] - own[k - 2][before])
+            open_places = np.concatenate([open_places[open_places < k - 1], at[~seen]])
+            backed = backed[seen]
+        else:
+            chance = np.maximum(others, 0.5) / max(corpus, 1)
+        score += float(np.log(chance).sum() + backed.sum() * np.log(BACKOFF))
+    return score
+
+
+def _block_scores(order: int, corpus: int):
+    def scored(docs: pa.Table, shared: pa.Table) -> pa.Table:
+        grams = [_grams(_words(value.as_py()), order) for value in docs["text"]]
+        lengths = [len(g) for doc in grams for g in doc]
+        every, place, totals = np.unique(
+            np.concatenate([g for doc in grams for g in doc] or [np.zeros(0, T.U64)]), return_inverse=True, return_counts=True
+        )
+        for known, times in zip(_unpacked(shared["grams"], np.uint64), _unpacked(shared["times"], np.int64), strict=True):
+            totals[np.searchsorted(every, known)] = times
+        pieces = iter(np.split(totals[place], np.cumsum(lengths)[:-1]) if lengths else [])
+        counts, sums = [], []
+        for doc in grams:
+            counts.append(len(doc[0]))
+            sums.append(_log_score(len(doc[0]), [next(pieces) for _ in doc], [_own_counts(g) for g in doc], corpus))
+        columns = [docs["doc_id"], pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
+        return pa.Table.from_arrays(columns, ["doc_id", "n_words", "log_score"])
+
+    return scored
+
+
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score) of every row. A word that no other document has counts as if seen half a
     time. Null, empty and blank texts have no words, the sum 0 and a null mean. Repeated rows are documents of their own: each
     is in the counts of the other. One document alone is scored by the factor and the half count throughout."""
-    given = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    given = given.withColumn("doc_id", F.struct("row", "doc_id"))
-    key = given.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join(f"{name} {key if name == 'row' else 'long'}" for name in _names(order))
-    rows = given.select("doc_id", "text").mapInArrow(_grams(order), schema)
-
-    def counts(k: int) -> DataFrame:
-        return rows.where(f"level >= {k}").groupBy(f"gram{k}").agg(F.sum("n").alias("times"), F.first(f"context{k}").alias("context"))
-
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    left, sums = rows, None
-    for k in range(order, 0, -1):
-        table = counts(k).select(F.col(f"gram{k}").alias("gram"), "times", "context")
-        if k > 1:
-            contexts = counts(k - 1).select(F.col(f"gram{k - 1}").alias("context"), F.col("times").alias("context_times"))
-            table = table.join(contexts, "context").select("gram", "times", "context_times")
-        else:
-            table = table.select("gram", "times", F.lit(total).alias("context_times"))
-        here = left.where(f"level >= {k}").join(table, F.col(f"gram{k}") == F.col("gram")).drop("gram")
-        others = F.col("times") - F.col(f"own{k}")
-        backed = F.least(F.col("level"), F.lit(order)) - k
-        if k > 1:
-            chance = others / (F.col("context_times") - F.col(f"context_own{k}"))
-            done = here.where(others > 0)
-        else:
-            chance = F.greatest(others, F.lit(0.5)) / F.greatest(F.lit(total), F.lit(1))
-            done = here
-        value = F.col("n") * (F.log(chance) + backed * F.log(F.lit(BACKOFF)))
-        part = done.groupBy("row").agg(F.sum("n").alias("n_words"), F.sum(value).alias("log_score"))
-        sums = part if sums is None else sums.union(part)
-        left = here.where(others <= 0).drop("times", "context_times").union(left.where(f"level < {k}")) if k > 1 else None
-    sums = written(sums.groupBy("row").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score")), "scores")
-    found = sums.select(F.col("row.row").alias("row"), F.col("row.doc_id").alias("doc_id"), "n_words", "log_score")
-    words = F.expr(r"size(filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')) = 0")
-    blank = given.where(words).select("doc_id.row", "doc_id.doc_id", F.lit(0).cast("long").alias("n_words"), F.lit(0.0).alias("log_score"))
-    mean = F.expr("log_score / nullif(n_words, 0)").alias("mean_log_score")
-    return found.unionByName(blank).select("doc_id", "n_words", "log_score", mean)
+    given = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    kind = given.schema["doc_id"].dataType.simpleString()
+    blocks = written(given.mapInArrow(_blocks(block_bytes), f"block long, n_words long, doc_id {kind}, text string"), "lm_blocks")
+    corpus = blocks.agg(F.sum("n_words")).first()[0] or 0
+    parts = corpus * order // PART_GRAMS + 1
+    grams = blocks.select("block", "text").mapInArrow(_block_counts(order, parts), "part long, block long, grams binary, counts binary")
+    shared = grams.groupBy("part").applyInArrow(_shared, "block long, grams binary, times binary").where("length(grams) > 0")
+    sums = blocks.groupBy("block").cogroup(shared.groupBy("block"))
+    sums = sums.applyInArrow(_block_scores(order, corpus), f"doc_id {kind}, n_words long, log_score double")
+    return sums.withColumn("mean_log_score", F.expr("log_score / nullif(n_words, 0)"))

@@ -29,8 +29,8 @@ def brute(texts, order=3):
     return found
 
 
-def same(result, texts):
-    expected = brute(texts)
+def same(result, texts, order=3):
+    expected = brute(texts, order)
     rows = result.collect()
     assert sorted(r.doc_id for r in rows) == sorted(texts)
     for r in rows:
@@ -48,6 +48,14 @@ def test_whole_table(spark):
     same(lm.scores(docs), {r.doc_id: r.text for r in docs.collect()})
 
 
+def test_many_blocks_give_what_one_gives(spark):
+    docs = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string").selectExpr("*", "1 as block", "2 as n_words")
+    same(lm.scores(docs.coalesce(1), block_bytes=1), TEXTS)
+    same(lm.scores(docs.coalesce(1), order=2, block_bytes=20), TEXTS, 2)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    same(lm.scores(docs, block_bytes=20_000), {r.doc_id: r.text for r in docs.collect()})
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     docs = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], "doc_id long, text string")
     rows = lm.scores(docs).collect()
