@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from tablejobs.session import work_dir
@@ -23,11 +25,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Query result in place of a table. A result that still reads ``path`` is refused, before anything is removed."""
+    """Query result in place of a table. A result that still reads ``path`` is refused, before anything is removed.
+
+    The result is written beside the table and takes its place when it is whole: a failed write leaves the old table as it
+    was. Between the two renames no table has the name; readers of the old files must have ended.
+    """
     folder = f"{path.rstrip('/')}/"
     if any(folder in file for file in df.inputFiles()):
         raise ValueError(f"the result to be written reads {path}")
-    df.write.mode("overwrite").parquet(path)
+    mark = uuid.uuid4().hex
+    new, old = f"{folder[:-1]}.new-{mark}", f"{folder[:-1]}.old-{mark}"
+    df.write.mode("errorifexists").parquet(new)
+    jvm = df.sparkSession._jvm
+    place, fresh, kept = (jvm.org.apache.hadoop.fs.Path(p) for p in (folder[:-1], new, old))
+    files = place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    existed = files.exists(place)
+    if existed and not files.rename(place, kept):
+        raise OSError(f"{path} can't be moved away; the result is in {new}")
+    if not files.rename(fresh, place):
+        if existed:
+            files.rename(kept, place)
+        raise OSError(f"{new} can't take the place of {path}")
+    if existed:
+        files.delete(kept, True)
     return _read_back(df, path)
 
 

@@ -93,6 +93,14 @@ def test_create_replace_append(spark):
     assert spark.read.parquet(path).count() == 7
 
 
+def test_a_failed_replacement_leaves_the_table(spark):
+    path = work_dir(spark, "kept")
+    assert sources.replace_table(spark.range(3), path).count() == 3  # none there before
+    with pytest.raises(Exception, match="late row"):
+        sources.replace_table(spark.range(9).selectExpr("if(id < 8, id, raise_error('late row')) AS id"), path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_clustered_files_do_not_overlap(spark):
     df = spark.range(1000).selectExpr("id % 50 AS a", "id AS b")
     path = work_dir(spark, "clustered")
