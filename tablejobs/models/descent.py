@@ -10,7 +10,6 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.models.features import MAX_CATEGORIES
 from tablejobs.models.tables import WEIGHTS_SCHEMA
 from tablejobs.models.training import ROWS_PER_TASK
 
@@ -31,7 +30,7 @@ class DescentModel:
     def transform(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """Input columns and the prediction (for log loss: the share of class 1); unseen categories weigh nothing.
 
-        Category weights are joined as tables of at most MAX_CATEGORIES rows.
+        Category weights are joined as tables of at most the rows that ``max_categories`` of the fit allowed.
         """
         total: Column = F.lit(self.intercept)
         for column, weight in self.numbers.items():
@@ -63,13 +62,15 @@ def fit_descent(
     l2: float = 0.0,
     min_rel_progress: float = 0.01,
     weight: str | None = None,
+    max_categories: int = 50_000,
 ) -> DescentModel:
     """Constant-rate descent on the mean loss with an L1 shrink step, stopped early when the loss hardly falls.
 
     Equal feature rows are merged first: their number and the sums of the label are all that either loss needs, so with
     categorical features the steps run over the combinations, not over the rows. One step is one aggregate, from which only
     the gradient reaches the driver. Rows without label teach nothing. A loss that rises is an error: the learn rate is too
-    large for these columns.
+    large for these columns. The weights of a column's categories pass through the driver, so a column with more than
+    ``max_categories`` values is an error too; the caller may raise that bound, no result depends on it.
     """
     df = df.filter(F.col(label).isNotNull())
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
@@ -81,8 +82,8 @@ def fit_descent(
         *[F.approx_count_distinct(c).alias(f"d_{c}") for c in categorical],
     ).first()
     for c in categorical:
-        if stats[f"d_{c}"] > MAX_CATEGORIES:
-            raise ValueError(f"{c} has about {stats[f'd_{c}']} values; descent takes up to {MAX_CATEGORIES}")
+        if stats[f"d_{c}"] > max_categories:
+            raise ValueError(f"{c} has about {stats[f'd_{c}']} values; descent takes up to {max_categories}")
     means = {c: stats[f"m_{c}"] or 0.0 for c in numeric}
     spread = {c: stats[f"s_{c}"] or 1.0 for c in numeric}
     scaled = [F.coalesce((F.col(c) - means[c]) / spread[c], F.lit(0.0)).alias(c) for c in numeric]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablejobs.functions import bucketize, day_type, feature_cross, geohash, hour_text
 
 HOUR_SPLITS = (5, 10, 17)
-MAX_CATEGORIES = 50_000  # category lists go through the driver; longer ones are hashed
+HASH_PLACES = 1 << 18  # places for the values of hashed columns
 
 
 def trip_columns(version: str) -> dict[str, Column]:
@@ -67,28 +67,26 @@ class TripFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.select("*", *[c.alias(n) for n, c in self.columns().items()])
 
 
-def encoding(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> list[Estimator | Transformer]:
+def encoding(categorical: Sequence[str], numeric: Sequence[str], hashed: Sequence[str] = ()) -> list[Estimator | Transformer]:
     """Stages that turn the columns into one ``features`` vector.
 
-    Categories are one-hot encoded, with a place for values not seen in training. A column with more than MAX_CATEGORIES
-    values is hashed instead, because its list would have to pass through the driver. Missing numbers take the mean.
+    Categories are one-hot encoded, with a place for values not seen in training. Their lists pass through the driver, so the
+    caller names as ``hashed`` those of the categorical columns that have too many values for that: they are hashed to
+    HASH_PLACES places, without names for their weights. The number of values changes nothing. Missing numbers take the mean.
     """
+    if unknown := set(hashed) - set(categorical):
+        raise ValueError(f"not among the categorical columns: {sorted(unknown)}")
     stages: list[Estimator | Transformer] = []
     inputs: list[str] = []
-    if categorical:
-        seen = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        short = [c for c in categorical if seen[c] <= MAX_CATEGORIES]
-        long = [c for c in categorical if c not in short]
-        if short:
-            index, onehot = [f"{c}_ix" for c in short], [f"{c}_oh" for c in short]
-            stages.append(
-                StringIndexer(inputCols=short, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc")
-            )
-            stages.append(OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=False))
-            inputs += onehot
-        if long:
-            stages.append(FeatureHasher(inputCols=long, outputCol="hashed", numFeatures=1 << 18))
-            inputs.append("hashed")
+    listed = [c for c in categorical if c not in hashed]
+    if listed:
+        index, onehot = [f"{c}_ix" for c in listed], [f"{c}_oh" for c in listed]
+        stages.append(StringIndexer(inputCols=listed, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=False))
+        inputs += onehot
+    if hashed:
+        stages.append(FeatureHasher(inputCols=list(hashed), outputCol="hashed", numFeatures=HASH_PLACES))
+        inputs.append("hashed")
     if numeric:
         filled = [f"{c}_filled" for c in numeric]
         stages.append(Imputer(inputCols=list(numeric), outputCols=filled, strategy="mean"))

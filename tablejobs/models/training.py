@@ -27,12 +27,14 @@ def fit(
     extra: Sequence[str] = (),
     weight: Column | None = None,
     count_rows: bool = False,
+    hashed: Sequence[str] = (),
 ) -> PipelineModel:
     """Fit ``estimator`` on the encoded columns, with ``prepare`` as the first stage of the resulting model.
 
     ``weight`` is computed from the label. ``count_rows`` first groups equal rows and weights them by their number: where all
     features are categories this leaves one row per combination, however many rows there were. It suits losses that are sums
     over rows; a penalty must not be standardised then, because MLlib's deviation of weighted rows is another one. ``extra`` columns are kept for the estimator.
+    ``hashed`` names categorical columns with too many values for a list (see ``encoding``).
     """
     prepared = df if prepare is None else prepare.transform(df)
     rows = prepared.select(
@@ -52,7 +54,7 @@ def fit(
     rows = rows.persist()
     try:
         few = rows.coalesce(rows.count() // ROWS_PER_TASK + 1)  # iterations over few rows need few tasks
-        fitted = Pipeline(stages=[*encoding(few, categorical, numeric), estimator.setLabelCol(label)]).fit(few)
+        fitted = Pipeline(stages=[*encoding(categorical, numeric, hashed), estimator.setLabelCol(label)]).fit(few)
     finally:
         rows.unpersist()
     return PipelineModel(([] if prepare is None else [prepare]) + fitted.stages)

@@ -238,12 +238,20 @@ def test_trees_rank_the_deciding_column_first(spark):
         assert metrics.evaluate_classification(training.score(model, df), "y", "score").first()["roc_auc"] > 0.95
 
 
-def test_many_categories_are_hashed(spark, monkeypatch):
-    monkeypatch.setattr("tablejobs.models.features.MAX_CATEGORIES", 3)
+def test_named_categories_are_hashed(spark):
     df = spark.createDataFrame([(str(i % 10), "a" if i % 2 else "b", float(i % 10)) for i in range(200)], "many string, few string, y double")
-    model = training.fit(df, "y", training.linear(l2=1e-6), categorical=["many", "few"])
+    model = training.fit(df, "y", training.linear(l2=1e-6), categorical=["many", "few"], hashed=["many"])
     error = metrics.evaluate_regression(training.predict(model, df), "y", "prediction").first()
     assert error["r2_score"] > 0.99
+    with pytest.raises(ValueError, match="other"):
+        training.fit(df, "y", training.linear(), categorical=["few"], hashed=["other"])
+
+
+def test_descent_takes_as_many_categories_as_the_caller_allows(spark):
+    df = spark.range(40).selectExpr("string(id) as c", "double(id % 2) as y")
+    with pytest.raises(ValueError, match="up to 10"):
+        fit_descent(df, "y", ["c"], max_categories=10)
+    assert len(fit_descent(df, "y", ["c"], max_iter=2).categories["c"]) == 40
 
 
 def test_regression_metrics_leave_out_rows_without_prediction(spark):
