@@ -109,24 +109,26 @@ def patterns(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     wide = written(wide, "pii_contexts")
 
     graph = written(nodes.join(wide, "context"), "pii_graph")
-    trusted = written(graph.where("seed is not null").select("value").distinct(), "pii_trusted")
+    seeds = graph.where("seed is not null").groupBy("value").agg(F.min("seed").alias("of"))
+    trusted = written(seeds, "pii_trusted")
     n, best = trusted.count(), empty
     for _ in range(ROUNDS):
         known = graph.join(trusted, "value").groupBy("context", "occurs").agg(
-            F.count("*").alias("n"), F.sum("times").alias("seen"), F.mode("seed", True).alias("seed")
+            F.count("*").alias("n"), F.sum("times").alias("seen"), F.mode("of", True).alias("of")
         )
-        scored = known.where(f"n >= {SUPPORT}").select("context", "seed", (F.col("seen") / F.col("occurs")).alias("score"))
+        scored = known.where(f"n >= {SUPPORT}").select("context", "of", (F.col("seen") / F.col("occurs")).alias("score"))
         scored = written(scored, "pii_scored")
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))
-        judged = graph.join(scored.drop("seed"), "context").groupBy("value").agg((1 - doubt).alias("score"))
-        trusted = trusted.union(judged.where(f"score >= {TRUST}").select("value")).distinct()
-        trusted = written(trusted, "pii_trusted")
-        best = scored.where(f"score >= {TRUST} and seed is not null")
+        first = F.max_by("of", F.struct("score", "context"))
+        judged = graph.join(scored, "context").groupBy("value").agg((1 - doubt).alias("score"), first.alias("of"))
+        new = judged.where(f"score >= {TRUST}").select("value", "of").join(trusted, "value", "left_anti")
+        trusted = written(trusted.union(new.select(*trusted.columns)), "pii_trusted")
+        best = scored.where(f"score >= {TRUST}")
         if (now := trusted.count()) == n:
             break
         n = now
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    return best.select("context", F.element_at(kinds, F.col("seed") + 1).alias("kind"))
+    return best.select("context", F.element_at(kinds, F.col("of") + 1).alias("kind"))
 
 
 def discovered(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:

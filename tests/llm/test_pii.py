@@ -77,6 +77,22 @@ def test_patterns_find_unseen_identifiers(accounts):
     assert spans[11] == "" and all(spans[i] == "" for i in range(20, 40))
 
 
+def generations(spark, contexts):
+    """Nine seeds behind the first context; behind each context what the one before has found, thrice, and three new ones."""
+    rows = [f"call {contexts[0]} +442079460{i:03d} now" for i in range(9)]
+    for k, words in enumerate(contexts):
+        rows += [f"call {words} 020-7946-{k:02d}{i}x now" for i in range(3)]
+        rows += [f"call {words} 020-7946-{k - 1:02d}{i}x now" for i in range(3) for _ in range(3) if k]
+    return spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+
+
+def test_patterns_of_later_generations_find_identifiers(spark):
+    docs = generations(spark, ["my line", "ring office", "fax desk"])
+    assert all(r.spans.startswith("phone:") for r in pii.report(docs).collect())
+    left = {r.text for r in pii.mask(docs).collect()}
+    assert left == {"call my line [PHONE] now", "call ring office [PHONE] now", "call fax desk [PHONE] now"}
+
+
 def test_mask_keeps_columns_and_clean_rows(spark, accounts):
     docs = accounts.selectExpr("doc_id", "text", "text as text_key", "1 as masked_text", "null as nothing")
     out = pii.mask(docs)
