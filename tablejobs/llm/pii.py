@@ -4,8 +4,9 @@ Base: e-mail addresses, IP addresses, card and phone numbers, by patterns and ch
 the two words before a seed are a lexical pattern; what stands behind a pattern elsewhere and looks like an identifier (six
 characters or more, a digit among them) is an instance. Patterns and instances form a graph that is scored in rounds: a
 pattern by the share of its occurrences in the whole corpus that are trusted instances (and it needs ``SUPPORT`` different
-ones), an instance by the chance that not all its patterns are wrong. Instances above ``TRUST`` are trusted in the next round.
-Patterns above ``TRUST`` at the end add the instances behind them to the spans, with the kind most of their seeds have.
+ones), an instance by the chance that not all its patterns are wrong. Instances above ``TRUST`` are trusted in the next round,
+until no round finds new ones. An instance has the kind of its seed or of the best pattern that found it, a pattern the kind
+most of its trusted instances have. Patterns above ``TRUST`` at the end add the instances behind them to the spans.
 
 Everything is Spark SQL. Spans are found by putting a mark around each match and adding up the lengths of the pieces; the
 graph has a row for each identifier-like string, and no text travels. Texts with the same md5 have the same spans.
@@ -36,7 +37,6 @@ CONTEXT = 2  # words
 CONTEXT_CHARS = 80
 SUPPORT = 3
 TRUST = 0.7
-ROUNDS = 4
 SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string,context:string>"
 
 
@@ -112,7 +112,7 @@ def patterns(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     seeds = graph.where("seed is not null").groupBy("value").agg(F.min("seed").alias("of"))
     trusted = written(seeds, "pii_trusted")
     n, best = trusted.count(), empty
-    for _ in range(ROUNDS):
+    while True:  # the trusted only grow, and the graph is finite
         known = graph.join(trusted, "value").groupBy("context", "occurs").agg(
             F.count("*").alias("n"), F.sum("times").alias("seen"), F.mode("of", True).alias("of")
         )

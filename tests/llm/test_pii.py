@@ -93,6 +93,11 @@ def test_patterns_of_later_generations_find_identifiers(spark):
     assert left == {"call my line [PHONE] now", "call ring office [PHONE] now", "call fax desk [PHONE] now"}
 
 
+def test_rounds_go_on_until_nothing_is_new(spark):
+    docs = generations(spark, [f"{x}-line number" for x in "abcdefg"])
+    assert {r.doc_id for r in pii.report(docs).where("spans = ''").collect()} == set()
+
+
 def test_mask_keeps_columns_and_clean_rows(spark, accounts):
     docs = accounts.selectExpr("doc_id", "text", "text as text_key", "1 as masked_text", "null as nothing")
     out = pii.mask(docs)
