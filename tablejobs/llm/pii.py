@@ -2,7 +2,8 @@
 
 Base: e-mail addresses, IP addresses, card and phone numbers, by patterns and checks. Bootstrapping goes on from these seeds:
 the two words before a seed are a lexical pattern; what stands behind a pattern elsewhere and looks like an identifier (six
-characters or more, a digit among them) is an instance. Patterns and instances form a graph that is scored in rounds: a
+characters or more: one word with a digit, or groups of digits joined by single blanks, brackets, dots or hyphens) is an
+instance. Where a word and groups begin together, the shorter is the instance and the longer is its span. Patterns and instances form a graph that is scored in rounds: a
 pattern by the share of its occurrences in the whole corpus that are trusted instances (and it needs ``SUPPORT`` different
 ones), an instance by the chance that not all its patterns are wrong. Instances above ``TRUST`` are trusted in the next round,
 until no round finds new ones. An instance has the kind of its seed or of the best pattern that found it, a pattern the kind
@@ -32,7 +33,11 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"\+[0-9]"}
 KINDS = list(PATTERNS)
 TOKEN = "A-Za-z0-9@._%+/-"
-INSTANCE = rf"(?<![{TOKEN}])(?=[A-Za-z@._%+/-]*+[0-9])[{TOKEN}]{{6,64}}+(?![{TOKEN}])"
+LEAST = 6  # characters
+WORD = rf"(?<![{TOKEN}])(?=[A-Za-z@._%+/-]*+[0-9])[{TOKEN}]{{{LEAST},}}+"
+# Digits that go on as a word with letters are no groups.
+DIGITS = "[0-9]++(?:[.-][0-9]++)*+(?![.-]*+[A-Za-z0-9@_%+/])"
+GROUPS = rf"(?<![{TOKEN}])\(?+{DIGITS}(?:(?:\)[ .-]?+\(?+| \(?+|\(){DIGITS})*+"
 CONTEXT = 2  # words
 CONTEXT_CHARS = 80
 SUPPORT = 3
@@ -79,14 +84,21 @@ def scan(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
     text = f"translate(coalesce(`{text_col}`, ''), '{MARK}', '{OTHER}')"
     found = docs.select(*keep, F.expr(f"md5(coalesce(`{text_col}`, ''))").alias("text_key"), F.expr(text).alias("clean"))
     found = found.select(*keep, "text_key", "clean", base_spans("clean").alias("base"))
-    instances = _matches("clean", INSTANCE, "", len(KINDS), "[0-9]", "true")
-    apart = f"filter({instances}, c -> not exists(base, b -> b.start < c.end and c.start < b.end))"
-    return found.select(*keep, "text_key", "base", F.expr(apart).alias("others"))
+    words = _matches("clean", WORD, "", len(KINDS), "[0-9]", "true")
+    groups = _matches("clean", GROUPS, "", len(KINDS), "[0-9]", f"char_length(p) >= {LEAST}")
+    apart = f"filter(concat({words}, {groups}), c -> not exists(base, b -> b.start < c.end and c.start < b.end))"
+    found = found.select(*keep, "text_key", "base", F.expr(f"sort_array({apart})").alias("both"))
+    # At most two begin together, the shorter first.
+    end = "if(get(both, i + 1).start = s.start, get(both, i + 1).end, s.end)"
+    one = f"struct(s.start as start, s.rank as rank, {end} as end, s.kind as kind, s.value as value, s.context as context)"
+    others = f"filter(transform(both, (s, i) -> if(get(both, i - 1).start = s.start, null, {one})), s -> s is not null)"
+    return found.select(*keep, "text_key", "base", F.expr(others).cast(f"array<{SPAN}>").alias("others"))
 
 
 def patterns(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """(context, kind) of the patterns that the rounds leave above ``TRUST``; ``found`` is what ``scan`` gave for ``docs``."""
-    rows = found.select(F.explode(F.concat("base", "others")).alias("s")).select("s.context", "s.value", "s.kind", "s.rank")
+    short = F.expr("if(char_length(s.value) > 64, sha2(s.value, 256), s.value)").alias("value")
+    rows = found.select(F.explode(F.concat("base", "others")).alias("s")).select("s.context", short, "s.kind", "s.rank")
     nodes = rows.where("context <> ''").groupBy("context", "value").agg(
         F.count("*").alias("times"), F.min(F.when(F.col("kind") != "", F.col("rank"))).alias("seed")
     )

@@ -98,6 +98,26 @@ def test_rounds_go_on_until_nothing_is_new(spark):
     assert {r.doc_id for r in pii.report(docs).where("spans = ''").collect()} == set()
 
 
+@pytest.mark.parametrize(
+    "value",
+    ["(162) 555-6820", "555 123 4567", "1 (988) 555-2485", "123456 789012", "020-7946-0911 12", "12.34.56 7", "(020)79460911", "(20) (30) 40",
+     "eyJ" + "aB3_" * 40 + ".x-9", "9" * 200, "1 2 3 " * 2000 + "4"],
+)
+def test_grouped_and_long_identifiers_are_found(spark, value):
+    rows = [(i, f"call my line +442079460{i:03d} now") for i in range(9)] + [(10, f"call my line {value} now")]
+    found = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[10] == f"phone:13:{13 + len(value)}"
+
+
+def test_groups_end_before_words_and_spread_trust(spark):
+    rows = [f"call my line +442079460{i:03d} now" for i in range(30)] + [f"call my line (162) 555-682{i} now" for i in range(3)]
+    rows += [f"ring office (162) 555-682{i}. Then" for i in range(3)] + ["ring office 162 555-6829 now", "call my line 555 12345, 678", "call my line 555 123 456-abc"]
+    rows += ["call my line 123"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    assert [found[i] for i in range(33, 40)] == ["phone:12:26"] * 3 + ["phone:12:24", "phone:13:22", "phone:13:20", ""]
+
+
 def test_mask_keeps_columns_and_clean_rows(spark, accounts):
     docs = accounts.selectExpr("doc_id", "text", "text as text_key", "1 as masked_text", "null as nothing")
     out = pii.mask(docs)
