@@ -24,12 +24,14 @@ def fit_repurchase(
     eval_fraction: float = 0.75,
     weights: Mapping[object, float] | None = None,
     seed: str = "repurchase",
+    extra: Sequence[str] = (),
 ) -> tuple[PipelineModel, DataFrame]:
-    """Model of ``cible`` on the training share, and the whole table with its share marked and scored."""
+    """Model of ``cible`` on the training share, and the whole table with its share marked and scored. ``extra`` columns are
+    no features, but kept for the estimator."""
     split = hash_split(table, "user_id", eval_fraction, seed)
-    numeric = feature_columns(table, "user_id", "cible")
+    numeric = feature_columns(table, "user_id", "cible", *extra)
     weight = None if weights is None else training.class_weight("cible", weights)
-    model = training.fit(split.filter(~F.col("is_eval")), "cible", estimator, numeric=numeric, weight=weight)
+    model = training.fit(split.filter(~F.col("is_eval")), "cible", estimator, numeric=numeric, extra=extra, weight=weight)
     return model, training.score(model, split)
 
 

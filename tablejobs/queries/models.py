@@ -425,23 +425,36 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scoring_run")
 def scoring_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Three repurchase models: metrics, confusion matrix and ROC points over all users and over the held-out share."""
+    """Four repurchase models: metrics, confusion matrix and ROC points over all users and over the held-out share, and what
+    each model learnt (no part): a row per input, of weights or, for the trees, of importance. A tenth of the training share
+    decides when the trees stop."""
     table = _ratios(spark, sf)
     split = hash_split(table, "user_id", 0.75, "repurchase")
     numeric = scoring.feature_columns(table, "user_id", "cible")
+    balance = {1: 0.5, 0: 0.5}
+    weighted = split.filter(~F.col("is_eval")).withColumn("class_weight", training.class_weight("cible", balance))
     constant_rate = fit_descent(
-        split.filter(~F.col("is_eval")), "cible", numeric=numeric, loss="log", learn_rate=0.3, max_iter=30, l1=0.01
+        weighted, "cible", numeric=numeric, loss="log", learn_rate=0.3, max_iter=30, l1=0.01, weight="class_weight"
     )
+    logistic, logistic_scored = scoring.fit_repurchase(table, training.logistic())
+    lasso, lasso_scored = scoring.fit_repurchase(table, training.logistic(l1=0.01, max_iter=30), weights=balance)
+    stopped = hash_split(table, "user_id", 0.1, "stop", "stops")
+    trees = training.boosted_trees(min_rows=5, validation="stops")
+    boosted, boosted_scored = scoring.fit_repurchase(stopped, trees, extra=["stops"])
     runs = {
-        "logistic": (scoring.fit_repurchase(table, training.logistic())[1], 0.236),
-        "constant_rate": (constant_rate.transform(split, "score"), 0.236),
-        "boosted": (scoring.fit_repurchase(table, training.boosted_trees(min_rows=5))[1], 0.5),
+        "logistic": (logistic_scored, 0.236, tables.weights_table(spark, logistic)),
+        "logistic_penalised": (lasso_scored, 0.236, tables.weights_table(spark, lasso)),
+        "constant_rate": (constant_rate.transform(split, "score"), 0.236, constant_rate.weights_table(spark)),
+        "boosted": (boosted_scored, 0.5, tables.importance_table(spark, boosted)),
     }
     result = None
-    for name, (scored, threshold) in runs.items():
+    for name, (scored, threshold, learnt) in runs.items():
         kept = materialize(scored.select("user_id", "cible", "is_eval", "score"), f"scored_{name}")
-        for part, rows in (("all", kept), ("held_out", kept.filter("is_eval"))):
-            found = scoring.report(rows, "cible", threshold)
-            found = found.select(F.lit(name).alias("model"), F.lit(part).alias("part"), "*")
+        item, at, value = ("importance", "feature", "importance") if name == "boosted" else ("weight", "processed_input", "weight")
+        learnt = learnt.select(F.lit(item).alias("item"), F.col(at).alias("at"), F.col(value).alias("value"))
+        shares = [("all", scoring.report(kept, "cible", threshold))]
+        shares += [("held_out", scoring.report(kept.filter("is_eval"), "cible", threshold)), (None, learnt)]
+        for part, found in shares:
+            found = found.select(F.lit(name).alias("model"), F.lit(part).cast("string").alias("part"), "*")
             result = found if result is None else result.unionByName(found)
     return result
