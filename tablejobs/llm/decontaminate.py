@@ -28,12 +28,12 @@ _HITS = pa.list_(pa.struct([(n, pa.int32()) for n in ("first", "last", "start",
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found: list[tuple[str, int, bytes]] = []
+        found: list[tuple[str | None, int, bytes]] = []
         for item, value in zip(batch["item_id"], batch["text"], strict=True):
             data = T.lowered(value.as_py())
             words = [data[a:b] for a, b in zip(*T.word_places(data, T.ALPHANUMERIC), strict=True)]
             n = min(WINDOW, len(words))
-            if n and item.as_py() is not None:
+            if n:
                 found += [(item.as_py(), n, b" ".join(words[i : i + n])) for i in range(len(words) - n + 1)]
         columns = list(zip(*found, strict=True)) or [[]] * 3
         kinds = [pa.string(), pa.int32(), pa.binary()]
@@ -41,7 +41,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n, words), distinct; items without id or words have none."""
+    """(item_id, n, words), distinct; items without words have none. Items without id are one item, whose id is null."""
     given = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     return given.mapInArrow(_windows, "item_id string, n int, words binary").distinct()
 
@@ -49,8 +49,8 @@ def windows(benchmark: DataFrame) -> DataFrame:
 class _Index:
     """Windows of one slice: by number of words, their sorted hashes, and by hash the words and items."""
 
-    def __init__(self, rows: list[tuple[str, int, bytes]]):
-        self.items: dict[int, list[tuple[bytes, str]]] = {}
+    def __init__(self, rows: list[tuple[str | None, int, bytes]]):
+        self.items: dict[int, list[tuple[bytes, str | None]]] = {}
         hashes: dict[int, set[int]] = {}
         for item, n, words in rows:
             own = T.word_hashes(words, *T.word_places(words, T.ALPHANUMERIC))
@@ -59,13 +59,13 @@ class _Index:
             self.items.setdefault(h, []).append((words, item))
         self.hashes = {n: np.array(sorted(found), T.U64) for n, found in hashes.items()}
 
-    def scan(self, value: str | None) -> tuple[int, list[tuple[int, int, int, int]], set[str]]:
+    def scan(self, value: str | None) -> tuple[int, list[tuple[int, int, int, int]], set[str | None]]:
         """Number of words, disjoint runs of hit words (first and last word, start and end in code points), items found."""
         data = T.lowered(value)
         starts, ends = T.word_places(data, T.ALPHANUMERIC)
         words = T.word_hashes(data, starts, ends)
         change = np.zeros(len(words) + 1, np.int64)
-        items: set[str] = set()
+        items: set[str | None] = set()
         for n, known in self.hashes.items():
             if len(words) < n:
                 continue
@@ -112,7 +112,7 @@ def _scanner(index, text_col: str, names: list[str]) -> Callable[[Iterator[pa.Re
                     own |= set(batch[names[2]][i].as_py())
                 counts.append(n)
                 runs.append([dict(zip(("first", "last", "start", "end"), x, strict=True)) for x in hit])
-                items.append(sorted(own))
+                items.append(sorted(own - {None}) + [None] * (None in own))
             kept = [c for c in batch.schema.names if c not in names]
             new = [pa.array(counts, pa.int64()), pa.array(runs, _HITS), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *new], [*kept, *names])
@@ -133,7 +133,7 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", slice_rows: int = SLICE) -> tuple[DataFrame, list[str]]:
     """All rows and columns of ``docs`` with three more, whose names are returned too: number of words, hit runs (first and
-    last word, start and end in code points, end exclusive), sorted items found. Null and empty texts have no words; an empty
+    last word, start and end in code points, end exclusive), sorted items found, a null last for those without id. Null and empty texts have no words; an empty
     benchmark hits nothing; repeated rows are judged one by one."""
     session = docs.sparkSession
     names = free_names(docs, "n_words", "hits", "items")
@@ -157,7 +157,8 @@ def n_hit(hits: str) -> str:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row. Items without id count as
+    one in ``n_items`` and are not in the digest."""
     given = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     found, (words, hits, items) = mark(given, benchmark)
     found = found.select("doc_id", F.col(words).alias("n_words"), F.expr(n_hit(hits)).alias("n_hit"), F.col(items).alias("items"))

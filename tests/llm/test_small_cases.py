@@ -71,6 +71,25 @@ def test_benchmark_hits_in_one_pass_and_in_several(spark):
     assert decontaminate.remove(docs, bench.limit(0)).count() == len(LEAKS) and decontaminate.report(docs.limit(0), bench).count() == 0
 
 
+def test_benchmark_items_without_id_are_hit_as_in_sql(spark):
+    import duckdb
+
+    from tablejobs.llm.queries import OP10_SQL
+
+    items = [*ITEMS, (None, "no id at all"), (None, "nor this"), (None, None)]
+    texts = [*LEAKS, "x no id at all y z v w", "no id at all, nor this; short é item", "clean"]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)").executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    db.execute("CREATE TABLE benchmark (item_id VARCHAR, text VARCHAR)").executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    found = sorted(tuple(r) for r in decontaminate.report(docs, bench).collect())
+    assert found == sorted(db.execute(OP10_SQL).fetchall()) and [r[2:4] for r in found[-3:]] == [(4, 1), (9, 2), (0, 0)]
+    marks = [sorted(map(str, decontaminate.mark(docs, bench, slice_rows=k)[0].collect())) for k in (1000, 2)]
+    assert marks[0] == marks[1]
+    assert {r.doc_id: r.text for r in decontaminate.remove(docs, bench).collect()}[8] == "x  y z v w"
+
+
 def test_part_of_a_document_is_cut_out(spark):
     text = "Ünd " * 30 + "one two three four five six seven eight nine ten eleven" + " tail" * 9
     docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
