@@ -1,6 +1,6 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed words, word pairs and skip-grams.
 
-Learning takes at most ``TRAIN_ROWS`` labelled rows, those with the smallest hashes of their ids, dealt to ``SHARDS`` tasks; the
+Learning takes at most ``TRAIN_ROWS`` labelled rows, one for each of the ids with the smallest hashes, dealt to ``SHARDS`` tasks; the
 weights of the shards are averaged. Each coordinate has its own rate, and the L1 term leaves few weights: at most one for each
 of the ``2 ** BITS`` places (8 bytes each, 128 MB), in practice some thousands, which are broadcast. Scoring is one pass.
 """
@@ -67,12 +67,13 @@ def held_out(id_col: str):
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(place, weight) learnt from the labelled rows that are not held out. ``labels`` has (doc_id, toxic); rows without id,
-    label or document teach nothing, and without any the result is empty."""
+    label or document teach nothing, an id with several texts teaches from one of them, and without any the result is empty."""
     usable = labels.where("doc_id is not null and toxic is not null").where(~held_out("doc_id"))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = written(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "toxic_labels")
     texts = join_ids(docs.select("doc_id", "text"), chosen.select("doc_id"), "doc_id", "left_semi")
-    # A repeated id teaches as often as it has texts.
+    # A repeated id teaches once, so that the bound is one of rows: from the text with the smallest hash.
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS)))
 

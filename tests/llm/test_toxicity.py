@@ -30,3 +30,12 @@ def test_no_labels_nulls_and_no_rows(spark):
     rows = toxicity.score(docs, weights).collect()
     assert len(rows) == 4 and all(r.score == 0.5 and r.predicted == 0 for r in rows)
     assert toxicity.score(docs.limit(0), weights).count() == 0
+
+
+def test_a_repeated_id_teaches_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    learnt = labels.where(~toxicity.held_out("doc_id")).where("toxic = 1").first().doc_id
+    again = docs.where(f"doc_id = {learnt}").selectExpr("doc_id", "text", "explode(sequence(1, 50)) as k").drop("k")
+    one, two = (sorted(map(tuple, toxicity.train(x, labels).collect())) for x in (docs, docs.union(again)))
+    assert one and one == two
