@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import bpe, decontaminate, lm, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc
+from tablejobs.llm import bpe, decontaminate, lm, merkle, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc
 from tablejobs.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,48 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# crc32 of a text, bit by bit: a byte is taken in, then eight steps (-1) follow.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({x}, ''),
+  lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, o: CASE WHEN o >= 0 THEN xor(a, o) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+_FIELD = "coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+_FIELDS = " || ".join(_FIELD.format(x=x) for x in ("doc_id", "source", "lang", "{n_chars}", "text"))
+OP12_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({_FIELDS.format(n_chars="n_chars")}) AS leaf,
+    CASE WHEN {_CRC.format(x="CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN sha256({_FIELDS.format(n_chars="(n_chars + 1)")}) END AS other FROM documents),
+d AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+up AS (SELECT g, 0 AS k, p, n, leaf AS h FROM d UNION ALL
+  SELECT g, k + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM up WHERE n > 1 GROUP BY g, k, p // 2, n),
+subroots AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM up WHERE n = 1),
+tops AS (SELECT 0 AS k, p, n, subroot AS h FROM subroots UNION ALL
+  SELECT k + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM tops WHERE n > 1 GROUP BY k, p // 2, n),
+steps AS (
+  SELECT d.doc_id, d.leaf, d.p AS pos, u.k, (d.p >> u.k) & 1 AS slot, s.h FROM d JOIN (SELECT DISTINCT g, k FROM up WHERE n > 1) u USING (g)
+    LEFT JOIN up s ON s.g = d.g AND s.k = u.k AND s.p = xor(d.p >> u.k, 1)
+  UNION ALL
+  SELECT d.doc_id, d.leaf, d.p, 100 + u.k, (r.p >> u.k) & 1, s.h FROM d JOIN subroots r USING (g) CROSS JOIN (SELECT DISTINCT k FROM tops WHERE n > 1) u
+    LEFT JOIN tops s ON s.k = u.k AND s.p = xor(r.p >> u.k, 1)),
+listed AS (SELECT doc_id, leaf, pos, list(struct_pack(slot := slot, h := coalesce(h, '')) ORDER BY k) AS steps FROM steps GROUP BY ALL),
+folded AS (
+  SELECT d.doc_id, d.leaf, d.g, d.p, coalesce(steps, []) AS steps, 0 AS k, coalesce(other, d.leaf) AS h FROM d LEFT JOIN listed l ON l.doc_id = d.doc_id AND l.leaf = d.leaf AND l.pos = d.p
+  UNION ALL
+  SELECT doc_id, leaf, g, p, steps, k + 1, sha256(CASE steps[k + 1].slot WHEN 0 THEN h || steps[k + 1].h ELSE steps[k + 1].h || h END) FROM folded WHERE k < len(steps))
+SELECT doc_id, leaf, subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(array_to_string(list_transform(steps, lambda s: s.h), '')) AS proof_sha256,
+  h AS folded_root, h = (SELECT h FROM tops WHERE n = 1) AS verified FROM folded JOIN subroots USING (g) WHERE k = len(steps)
+"""
+
+
+@_query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by language; where 7 divides the checksum of the id, the row is shown with one more in ``n_chars``."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(hit, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars"))
+    rows = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "doc_id", "lang", {"n_chars": more})
+    found = merkle.verify(rows).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` one after the other."""
