@@ -141,7 +141,7 @@ def manifest(
     subroots = written(subroots, "merkle_subroots")
     named = subroots.select(F.lit("").alias("group_key"), F.col("group_key").alias("name"), F.col("digest").alias("subroot"), "digest")
     over, root = _tree(_placed(named, "name"), fanout, levels)
-    root = root.select(F.lit("").alias("group_key"), F.array().cast(STEPS).alias("upper"), F.col("digest").alias("root"))
+    root = root.select("group_key", F.array().cast(STEPS).alias("upper"), F.col("digest").alias("root"))
     groups = _descended(over, root).select(F.col("name").alias("group_key"), "subroot", "root", F.col("steps").alias("upper"))
     found = _descended(rounds, groups)
     other = F.coalesce("other", "digest").alias("shown_leaf")

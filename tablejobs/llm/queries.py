@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import bpe, decontaminate, lm, merkle, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc
+from tablejobs.llm import bpe, decontaminate, lm, merkle, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc, window_dup
 from tablejobs.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,6 +213,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@_query("op13_substring_dedup")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dup.digests(table(spark, sf_dir, "documents"))
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` one after the other."""
