@@ -31,13 +31,15 @@ WINDOW = 13
 GRAM = 5
 CHUNK_BYTES = 4_000_000  # of text packed together; what a task holds at a time
 RANGE_BYTES = 8_000_000  # of packed strings meant for a bucket
+SUM_BYTES = 1_000_000  # hashed at a time
 SPREAD = 4  # packed strings take up to about this many times the bytes of the texts
 HOT = 2  # a bucket with more than HOT * RANGE_BYTES is cut into windows
 BROADCAST_BYTES = 32_000_000  # of spans that go to all executors; more are joined by shuffle
 ALL = 2**31 - 1  # end of a span that takes the whole text
 
 _BASE = 0x9E3779B97F4A7C15
-_powers = {base: np.ones(1, T.U64) for base in (_BASE, pow(_BASE, -1, 2**64))}
+_INVERSE = pow(_BASE, -1, 2**64)
+_powers = {base: np.ones(1, T.U64) for base in (_BASE, _INVERSE)}
 _BLANK = bytes(0x20 if 0x09 <= i <= 0x0D else i for i in range(256))
 
 
@@ -66,10 +68,17 @@ def _places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, from one running sum over all bytes."""
-    sums = np.zeros(len(data) + 1, T.U64)
-    np.cumsum(T._BYTE[data] * _power(_BASE, len(data)), out=sums[1:])
-    own = (sums[ends] - sums[starts]) * _power(pow(_BASE, -1, 2**64), len(data) + 1)[starts]
+    """A 64-bit hash of each word, from a running sum over some bytes at a time."""
+    own = np.zeros(len(starts), T.U64)
+    first = 0
+    while first < len(starts):
+        base = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, base + SUM_BYTES)))
+        part, begin, end = data[base : ends[last - 1]], starts[first:last] - base, ends[first:last] - base
+        sums = np.zeros(len(part) + 1, T.U64)
+        np.cumsum(T._BYTE[part] * _power(_BASE, len(part)), out=sums[1:])
+        own[first:last] = (sums[end] - sums[begin]) * _power(_INVERSE, len(part) + 1)[begin]
+        first = last
     return T.mix(own + (ends - starts).astype(T.U64) * T._PLACE[0])
 
 
@@ -245,6 +254,11 @@ def _spans(docs: np.ndarray, keys: np.ndarray, places: np.ndarray) -> pa.Table:
     return pa.Table.from_arrays([pa.array(docs[at][row]), pa.array(keys[at][row]), *lists], ["doc_id", "key", "first", "last"])
 
 
+def _alike(text: bytes, begin: np.ndarray, end: np.ndarray, left: np.ndarray, right: np.ndarray) -> bool:
+    places = zip(*(x.tolist() for x in (begin[left], end[left], begin[right], end[right])), strict=True)
+    return all(text[a:b] == text[c:d] for a, b, c, d in places)
+
+
 def _repeated(table: pa.Table) -> pa.Table:
     """A bucket: its windows sorted, equal neighbours compared, and the places whose window starts in a smaller document."""
     tool = zstandard.ZstdDecompressor()
@@ -261,9 +275,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     order = np.argsort(hashes, kind="stable")
     same = np.diff(hashes[order]) == 0
     pairs = np.flatnonzero(same)
-    left, right = order[pairs], order[pairs + 1]
-    ab, ae, bb, be = (x.tolist() for x in (begin[left], end[left], begin[right], end[right]))
-    if not all(text[a:b] == text[c:d] for a, b, c, d in zip(ab, ae, bb, be, strict=True)):
+    if not all(_alike(text, begin, end, order[p], order[p + 1]) for p in np.array_split(pairs, len(pairs) // 50_000 + 1)):
         # Different windows share a hash: sort the words themselves.
         windows = [text[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
         order = np.array(sorted(range(len(windows)), key=windows.__getitem__), np.int64)
