@@ -321,12 +321,21 @@ def _removed(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept"])
 
 
-def spans(given: DataFrame) -> DataFrame:
+def _keyed(given: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``given`` with a key that tells apart the texts of one id, and (doc_id, key, copy, bytes) of its rows with an id. The
+    key takes room in each super-k-mer; it is 0 where no id has two texts."""
+    copy = F.md5(F.coalesce("text", F.lit("")))
+    ids = given.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("key"), copy.alias("copy"), F.octet_length("text").alias("bytes"))
+    ids = written(ids, "window_ids")
+    if ids.groupBy("doc_id").agg(F.min("copy").alias("a"), F.max("copy").alias("b")).where("a <> b").isEmpty():
+        return given.withColumn("key", F.lit(0).cast("long")), ids.withColumn("key", F.lit(0).cast("long"))
+    return given.withColumn("key", F.xxhash64("text")), ids
+
+
+def spans(given: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, key, first, last): runs of words to be removed from ``given`` (doc_id, key, text), a row for each text that has
     any. A run that ends at ``ALL`` takes the whole text if it has a window."""
     rows = given.where("doc_id is not null")
-    copies = F.md5(F.coalesce("text", F.lit("")))
-    ids = written(rows.select("doc_id", "key", copies.alias("copy"), F.octet_length("text").alias("bytes")), "window_ids")
     firsts = ids.groupBy("copy").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     whole = ids.join(firsts.where("least < most"), "copy").where("doc_id > least")
     whole = whole.selectExpr("doc_id", "key", "array(0L) as first", f"array({ALL}L) as last").dropDuplicates(["doc_id", "key"])
@@ -350,8 +359,8 @@ def spans(given: DataFrame) -> DataFrame:
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row: its words, those removed, and the others joined by blanks."""
     given = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    given = given.withColumn("key", F.xxhash64("text"))
-    found = spans(given)
+    given, ids = _keyed(given)
+    found = spans(given, ids)
     size = found.agg(F.sum(F.size("first") * 16 + 64)).first()[0] or 0
     found = F.broadcast(found) if size <= BROADCAST_BYTES else found
     joined = given.join(found, ["doc_id", "key"], "left").select("doc_id", "text", "first", "last")
