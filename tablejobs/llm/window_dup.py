@@ -31,6 +31,7 @@ WINDOW = 13
 GRAM = 5
 CHUNK_BYTES = 4_000_000  # of text packed together; what a task holds at a time
 RANGE_BYTES = 8_000_000  # of packed strings meant for a bucket
+RANGES_PER_TASK = 8
 SUM_BYTES = 1_000_000  # hashed at a time
 SPREAD = 4  # packed strings take up to about this many times the bytes of the texts
 HOT = 2  # a bucket with more than HOT * RANGE_BYTES is cut into windows
@@ -346,7 +347,8 @@ def spans(given: DataFrame, ids: DataFrame) -> DataFrame:
     # At most a share of 1 / HOT of all buckets can be beyond HOT times what there is for each.
     hot = np.array([r["range"] for r in sizes.where(F.col("bytes") > HOT * RANGE_BYTES).collect()], np.int64)
     packed = rows.mapInArrow(_pack(ranges, hot), PACKED)
-    found = packed.groupBy("range").applyInArrow(_repeated, SPANS).unionByName(whole)
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), ranges // RANGES_PER_TASK)
+    found = packed.repartition(parts, "range").groupBy("range").applyInArrow(_repeated, SPANS).unionByName(whole)
     if len(hot):
         windows = rows.mapInArrow(_cut(ranges, hot), "words binary, doc_id long, key long, place long")
         least = windows.groupBy("words").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
