@@ -352,6 +352,7 @@ def spans(given: DataFrame, ids: DataFrame) -> DataFrame:
     if len(hot):
         windows = rows.mapInArrow(_cut(ranges, hot), "words binary, doc_id long, key long, place long")
         least = windows.groupBy("words").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+        least = written(least, "window_least")  # so that the join has two plain sides, whose hot windows can be split
         hit = windows.join(least, "words").where("doc_id > least")
         found = found.unionByName(hit.selectExpr("doc_id", "key", "array(place) as first", f"array(place + {WINDOW}) as last"))
     lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("first", "last")]
