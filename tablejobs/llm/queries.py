@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablejobs.llm import bpe, decontaminate, lm, merkle, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc, window_dup
+from tablejobs.llm import bpe, decontaminate, hard_negatives, lm, merkle, near_dup, pii, quality, substring_dup, toxicity, url_rules, warc, window_dup
 from tablejobs.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label, CAST(list_sum(list_transform(list_zip(a.q, c.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.q) = len(c.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT anchor_id, vec_id, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS rk FROM s WHERE label = own) WHERE rk <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rk
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rk AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rk <= 5
+"""
+
+
+@_query("op11_hard_negatives", OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth row is an anchor; every seventh has the next label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    vectors = vectors.withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return hard_negatives.Index(vectors, F.col("vec_id") % 100 == 0).mine()
+
+
 # crc32 of a text, bit by bit: a byte is taken in, then eight steps (-1) follow.
 _CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({x}, ''),
   lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, o: CASE WHEN o >= 0 THEN xor(a, o) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
