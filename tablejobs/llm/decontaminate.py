@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from tablejobs.llm import text as T
+from tablejobs.llm.arrays import replaced
 from tablejobs.llm.shared import written
 
 WINDOW = 10
@@ -179,7 +180,5 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", drop_s
     found, (words, hits, _) = mark(docs, benchmark, text_col)
     found = found.where(f"`{hits}` is null or {n_hit(f'`{hits}`')} <= {drop_share} * `{words}`")
     text = f"`{text_col}`"
-    cut = f"""aggregate(`{hits}`, struct('' as kept, 0 as at),
-        (s, h) -> struct(concat(s.kept, substring({text}, s.at + 1, h.start - s.at)) as kept, h.end as at),
-        s -> concat(s.kept, substring({text}, s.at + 1)))"""
+    cut = replaced(text, f"`{hits}`", "''")
     return found.withColumn(text_col, F.expr(f"if(size(`{hits}`) > 0, {cut}, {text})")).select(*[f"`{c}`" for c in columns])

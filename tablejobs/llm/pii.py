@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablejobs.llm.arrays import let, replaced, running
 from tablejobs.llm.decontaminate import free_names
 from tablejobs.llm.shared import BROADCAST_IDS, written
 
@@ -42,17 +43,18 @@ CONTEXT = 2  # words
 CONTEXT_CHARS = 80
 SUPPORT = 3
 TRUST = 0.7
+SLOTS = 1 << 18  # of the bitmap of patterns
 SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string,context:string>"
 
 
 def _valid(kind: str, value: str) -> str:
     digits = f"translate({value}, ' -().+', '')"
     if kind == "ip":
-        bare = "ltrim('0', x)"
-        return f"forall(split({value}, '[.]'), x -> char_length({bare}) < 4 and cast(concat('0', {bare}) as int) <= 255)"
+        bare = "ltrim('0', q)"
+        return f"forall(split({value}, '[.]'), q -> char_length({bare}) < 4 and cast(concat('0', {bare}) as int) <= 255)"
     if kind == "card":
         digit = "cast(substring(d, -i, 1) as int)"
-        luhn = f"aggregate(sequence(1, char_length(d)), 0, (s, i) -> s + if(i % 2 = 1, {digit}, {digit} * 2 - if({digit} > 4, 9, 0)))"
+        luhn = f"aggregate(sequence(1, char_length(d)), 0, (t, i) -> t + if(i % 2 = 1, {digit}, {digit} * 2 - if({digit} > 4, 9, 0)))"
         return f"transform(array({digits}), d -> char_length(d) between 12 and 19 and {luhn} % 10 = 0)[0]"
     if kind == "phone":
         return f"char_length({digits}) between 9 and 15"
@@ -62,20 +64,18 @@ def _valid(kind: str, value: str) -> str:
 def _matches(text: str, pattern: str, kind: str, rank: int, hint: str, valid: str) -> str:
     """SQL of the spans of the valid matches, with the words before each."""
     pattern, hint = pattern.replace("\\", "\\\\"), hint.replace("\\", "\\\\")
-    pieces = f"split(regexp_replace({text}, '{pattern}', '{MARK}$0{MARK}'), '{MARK}')"
-    before = rf"regexp_extract(right(a.before, {CONTEXT_CHARS}), '(\\S+\\s+\\S+)\\s*$', 1)"
+    pieces = f"split(regexp_replace({text}, '{pattern}', '{MARK}$0{MARK}'), '{MARK}')"  # every other piece is a match
+    before = rf"regexp_extract(right(s.before, {CONTEXT_CHARS}), '(\\S+\\s+\\S+)\\s*$', 1)"
     context = rf"lower(regexp_replace({before}, '\\s+', ' '))"
-    span = f"struct(a.at as start, {rank} as rank, a.at + char_length(p) as end, '{kind}' as kind, p as value, {context} as context)"
-    none = f"cast(array() as array<{SPAN}>)"
-    taken = f"if(a.odd and {valid}, concat(a.spans, array({span})), a.spans)"
-    step = f"struct(a.at + char_length(p) as at, not a.odd as odd, p as before, {taken} as spans)"
-    first = f"struct(0 as at, false as odd, '' as before, {none} as spans)"
-    return f"if({text} rlike '{hint}', aggregate({pieces}, {first}, (a, p) -> {step}, a -> a.spans), {none})"
+    span = f"struct(s.at as start, {rank} as rank, s.at + char_length(x) as end, '{kind}' as kind, x as value, {context} as context)"
+    state = {"at": ("0", "s.at + char_length(x)"), "odd": ("false", "not s.odd"), "before": ("''", "x")}
+    found = running(pieces, state, f"if(s.odd and {valid}, {span}, null)", SPAN)
+    return f"if({text} rlike '{hint}', filter({found}, x -> x is not null), cast(array() as array<{SPAN}>))"
 
 
 def base_spans(text: str) -> Column:
     """Spans of the base kinds by start, then kind. ``text`` is SQL of a text that is not null and has no mark."""
-    found = [_matches(text, PATTERNS[k], k, i, HINTS[k], _valid(k, "p")) for i, k in enumerate(KINDS)]
+    found = [_matches(text, PATTERNS[k], k, i, HINTS[k], _valid(k, "x")) for i, k in enumerate(KINDS)]
     return F.expr(f"sort_array(concat({', '.join(found)}))")
 
 
@@ -85,14 +85,26 @@ def scan(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
     found = docs.select(*keep, F.expr(f"md5(coalesce(`{text_col}`, ''))").alias("text_key"), F.expr(text).alias("clean"))
     found = found.select(*keep, "text_key", "clean", base_spans("clean").alias("base"))
     words = _matches("clean", WORD, "", len(KINDS), "[0-9]", "true")
-    groups = _matches("clean", GROUPS, "", len(KINDS), "[0-9]", f"char_length(p) >= {LEAST}")
-    apart = f"filter(concat({words}, {groups}), c -> not exists(base, b -> b.start < c.end and c.start < b.end))"
-    found = found.select(*keep, "text_key", "base", F.expr(f"sort_array({apart})").alias("both"))
+    groups = _matches("clean", GROUPS, "", len(KINDS), "[0-9]", f"char_length(x) >= {LEAST}")
+    found = found.select(*keep, "text_key", "base", F.expr(_apart("base", f"sort_array(concat({words}, {groups}))")).alias("both"))
     # At most two begin together, the shorter first.
     end = "if(get(both, i + 1).start = s.start, get(both, i + 1).end, s.end)"
     one = f"struct(s.start as start, s.rank as rank, {end} as end, s.kind as kind, s.value as value, s.context as context)"
     others = f"filter(transform(both, (s, i) -> if(get(both, i - 1).start = s.start, null, {one})), s -> s is not null)"
-    return found.select(*keep, "text_key", "base", F.expr(others).cast(f"array<{SPAN}>").alias("others"))
+    return found.select(*keep, "text_key", "base", F.expr(let("both", "both", others)).cast(f"array<{SPAN}>").alias("others"))
+
+
+def _apart(base: str, instances: str) -> str:
+    """SQL of the instances that overlap no base span; both are in order. One pass forward finds those that begin inside a
+    span, one backward those in which a span begins."""
+    no = f"cast(null as {SPAN})"
+    marks = f"sort_array(concat(transform(base, b -> struct(b.start as start, 0 as what, b.end as end, {no} as c)), transform(all_, c -> struct(c.start as start, 1 as what, c.end as end, c as c))))"
+    forward = running("marks_", {"reach": ("0", "if(x.what = 0, greatest(s.reach, x.end), s.reach)")}, "s.reach > x.start", "boolean")
+    backward = running("reverse(marks_)", {"next": (f"{2**31 - 1}", "if(x.what = 0, x.start, s.next)")}, "s.next < x.end", "boolean")
+    taken = "if(m.what = 1 and not inside_[i] and not over_[size(over_) - 1 - i], m.c, null)"
+    kept = f"filter(transform(marks_, (m, i) -> {taken}), c -> c is not null)"
+    kept = let(marks, "marks_", let(forward, "inside_", let(backward, "over_", kept)))
+    return let(base, "base", let(instances, "all_", f"if(size(base) = 0 or size(all_) = 0, all_, {kept})"))
 
 
 def patterns(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
@@ -109,14 +121,16 @@ def patterns(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     if wide.where(f"seeds >= {SUPPORT}").isEmpty():
         return empty  # no pattern can have support in the first round, so none will later
 
-    # How often the words of a pattern occur in the corpus, whatever follows.
-    names = wide.select("context")
-    if wide.count() <= BROADCAST_IDS // 4:
-        names = F.broadcast(names)
-    words = F.expr(rf"filter(split(lower(coalesce(`{text_col}`, '')), '\\s+'), w -> w <> '')")
+    # How often the words of a pattern occur in the corpus, whatever follows: counted where they are read, and only then joined.
+    # A bitmap leaves out most words that belong to no pattern before they are counted.
+    slot = F.expr(f"cast(pmod(xxhash64(context), {SLOTS}) as int)")
+    used = set(wide.select(F.collect_set(slot)).first()[0])  # at most SLOTS numbers
+    bitmap = F.lit(bytes(49 if i in used else 48 for i in range(SLOTS)))
+    words = rf"filter(split(lower(coalesce(`{text_col}`, '')), '\\s+'), w -> w <> '')"
     pairs = "if(size(words) < 3, array(), transform(sequence(0, size(words) - 3), i -> concat_ws(' ', words[i], words[i + 1])))"
-    pairs = docs.select(words.alias("words")).select(F.explode(F.expr(pairs)).alias("context"))
-    occurs = pairs.join(names, "context").groupBy("context").agg(F.count("*").alias("occurs"))
+    pairs = docs.select(F.explode(F.expr(let(words, "words", pairs))).alias("context"))
+    pairs = pairs.where(F.substring(bitmap, slot + 1, F.lit(1)) == F.lit(b"1"))
+    occurs = pairs.groupBy("context").agg(F.count("*").alias("occurs"))
     wide = wide.join(occurs, "context", "left").select("context", F.expr("greatest(seen, coalesce(occurs, 0))").alias("occurs"))
     wide = written(wide, "pii_contexts")
 
@@ -182,8 +196,6 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
     if spans.count() <= BROADCAST_IDS // 16:
         spans = F.broadcast(spans)
     t = f"`{text_col}`"
-    put = f"concat(a.done, substring({t}, a.at + 1, s.start - a.at), '[', upper(s.kind), ']')"
-    step = f"if(s.start >= a.at, struct({put} as done, s.end as at), struct(a.done as done, greatest(a.at, s.end) as at))"
-    masked = f"aggregate(`{text}`, struct('' as done, 0 as at), (a, s) -> {step}, a -> concat(a.done, substring({t}, a.at + 1)))"
     result = keyed.join(spans, key, "left")
+    masked = replaced(t, f"`{text}`", "concat('[', upper(x.kind), ']')")
     return result.withColumn(text_col, F.expr(f"if(`{text}` is null, {t}, {masked})")).select(*[f"`{c}`" for c in columns])

@@ -1,5 +1,9 @@
 import hashlib
+import math
+import random
 import re
+import time
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -134,3 +138,93 @@ def test_empty_null_and_repeated_rows(spark):
     assert found == [(False, 1, ""), (False, 1, ""), (False, 2, ""), (False, 3, "email:2:8"), (False, 3, "email:2:8"), (True, None, "email:0:6")]
     assert sorted(str(r.text) for r in pii.mask(docs).collect()) == ["", "None", "None", "[EMAIL]", "x [EMAIL]", "x [EMAIL]"]
     assert pii.report(docs.limit(0)).count() == 0 and pii.mask(docs.limit(0)).count() == 0
+
+
+def plain_patterns(found, texts):
+    """The scoring of the graph in plain Python: (context, kind) above the threshold, from the spans of each row."""
+    times, seeds = Counter(), {}
+    for r in found:
+        for s in r.base + r.others:
+            value = s.value if len(s.value) <= 64 else hashlib.sha256(s.value.encode()).hexdigest()
+            if s.context:
+                times[s.context, value] += 1
+                if s.kind:
+                    seeds[s.context, value] = min(seeds.get((s.context, value), 9), s.rank)
+    values = defaultdict(set)
+    for c, v in times:
+        values[c].add(v)
+    wide = {c for c in values if len(values[c]) >= pii.SUPPORT}
+    occurs = Counter()
+    for t in texts:
+        words = (t or "").lower().split()
+        occurs.update(" ".join(words[i : i + 2]) for i in range(len(words) - 2))
+    total = {c: max(occurs[c], sum(times[c, v] for v in values[c])) for c in wide}
+    trusted = {}
+    for (c, v), rank in seeds.items():
+        if c in wide:
+            trusted[v] = min(trusted.get(v, 9), rank)
+    while True:
+        scored = {}
+        for c in wide:
+            known = [v for v in values[c] if v in trusted]
+            if len(known) >= pii.SUPPORT:
+                ranks = Counter(trusted[v] for v in known)
+                scored[c] = (sum(times[c, v] for v in known) / total[c], min(ranks, key=lambda k: (-ranks[k], k)))
+        doubt, best = {}, {}
+        for c, (score, of) in scored.items():
+            for v in values[c]:
+                doubt[v] = doubt.get(v, 0) + math.log(max(1 - score, 1e-9))
+                best[v] = max(best.get(v, (-1, "", 0)), (score, c, of))
+        new = {v: best[v][2] for v in doubt if 1 - math.exp(doubt[v]) >= pii.TRUST and v not in trusted}
+        if not new:
+            return {(c, pii.KINDS[of]) for c, (score, of) in scored.items() if score >= pii.TRUST}
+        trusted |= new
+
+
+def mixed(seed):
+    """Contexts of all grades of trust, with seeds, identifiers of their own and shared ones, and plain words behind them."""
+    rng = random.Random(seed)
+    contexts = {f"{a} {b}": rng.random() for a in ("call", "write", "id", "ring") for b in ("us:", "nr", "at")}
+    rows = []
+    for i in range(600):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            c = rng.choice(list(contexts))
+            seed_of = rng.choice([f"+4420794{rng.randint(10000, 10040)}", f"u{rng.randint(0, 40)}@ex.com", f"10.0.0.{rng.randint(0, 40)}"])
+            other = rng.choice([f"ab-{rng.randint(100, 180)}x", f"555 0{rng.randint(10, 60)} 99"])
+            p = rng.random()
+            words.append(f"So {c} {seed_of if p < contexts[c] else other if p < (1 + contexts[c]) / 1.7 else 'nobody there'} then")
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_patterns_are_those_of_plain_scoring(spark, seed):
+    rows = mixed(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = pii.scan(docs, "text", "doc_id").persist()
+    expected = plain_patterns(found.collect(), [t for _, t in rows])
+    assert expected and {tuple(r) for r in pii.patterns(found, docs, "text").collect()} == expected
+    known = dict(expected)
+    spans = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    for r in found.collect():
+        every = [(s.start, s.rank, f"{s.kind}:{s.start}:{s.end}") for s in r.base]
+        every += [(s.start, pii.KINDS.index(known[s.context]), f"{known[s.context]}:{s.start}:{s.end}") for s in r.others if s.context in known]
+        assert spans[r.doc_id] == ",".join(x[2] for x in sorted(every))
+
+
+def test_very_long_texts_take_time_in_proportion(spark):
+    def text(n):
+        return " ".join(f"mail user{i}@example{i % 7}.org or ask {1234567 + i} now" for i in range(n))
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        start = time.perf_counter()
+        row = pii.report(docs).collect()[0]
+        masked = pii.mask(docs).collect()[0].text
+        assert row.n_email == n and masked.count("[EMAIL]") == n and masked.endswith(f"ask {1234566 + n} now")
+        return time.perf_counter() - start
+
+    seconds(100)
+    short, long = seconds(3_000), seconds(30_000)
+    assert long < 20 * max(short, 2.0)
