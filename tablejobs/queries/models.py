@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.functions import bucketize, day_type, feature_cross
 from tablejobs.models import clustering, metrics, tables, training
+from tablejobs.models.boosting import BoostedTrees, fit_boosted
 from tablejobs.models.descent import fit_descent
 from tablejobs.models.features import HOUR_SPLITS, TripFeatures, trip_columns
 from tablejobs.operators import hash_sample, hash_split
@@ -371,11 +372,78 @@ def logreg_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("boosted_trees_fit")
 def boosted_trees_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """A tenth of the training share decides when to stop."""
-    rows = hash_split(_trips(spark, sf), "hire_id", 0.1, "stop", "stops")
-    estimator = training.boosted_trees(min_rows=50, max_depth=5, validation="stops")
-    _, held_out = scoring.fit_trip_type(rows, estimator, extra=["stops"])
-    return metrics.evaluate_classification(held_out, "is_long", "score", 0.127)
+    """A tenth of the training share decides when to stop; a child weighs 50 at least."""
+    rows = TripFeatures("geo").transform(hash_split(_trips(spark, sf), "hire_id", 0.1, "stop", "stops"))
+    split = hash_split(rows, "hire_id", 0.9, "trip")
+    model = fit_boosted(
+        split.filter(~F.col("is_eval")), "is_long", "hire_id", categorical=list(trip_columns("geo")),
+        max_depth=5, subsample=0.5, min_child_weight=50.0, stops="stops",
+    )
+    return metrics.evaluate_classification(model.transform(split.filter("is_eval")), "is_long", "score", 0.127)
+
+
+def _small_tree(spark: SparkSession, sf: str) -> BoostedTrees:
+    """One tree of depth two for long hires, from hour, weekday and station name, penalised and with a least child weight."""
+    day, label = F.dayofweek("start_date").alias("weekday"), (F.col("duration") > roles.LONG_TRIP).cast("int").alias("is_long")
+    rows = roles.hires(spark, sf).select("hire_id", F.hour("start_date").alias("hour"), day, F.col("start_station_name").alias("station"), label)
+    options = {"max_iter": 1, "max_depth": 2, "l1": 0.05, "l2": 0.125, "min_child_weight": 5.0}
+    return fit_boosted(rows, "is_long", "hire_id", ["hour", "weekday"], ["station"], **options)
+
+
+def _level_sql(node: str, rows: str) -> str:
+    """SQL of the best cut of each node of ``rows`` (node, y, hour, weekday, station)."""
+    shrunk = "pow(greatest(abs({g}) - 0.05e0, 0), 2) / ({h} + 0.125e0)"
+    gain = f"{shrunk.format(g='gl', h='hl')} + {shrunk.format(g='g - gl', h='h - hl')} - {shrunk.format(g='g', h='h')}"
+    up = "OVER (PARTITION BY node, f ORDER BY cut)"
+    return f"""
+    {node}_long AS (
+      SELECT node, y, 0 AS f, 'hour' AS feature, CAST(hour AS DOUBLE) AS cut, CAST(NULL AS VARCHAR) AS category FROM {rows}
+      UNION ALL SELECT node, y, 1, 'weekday', weekday, NULL FROM {rows} UNION ALL SELECT node, y, 2, 'station', NULL, station FROM {rows}),
+    {node}_sums AS (SELECT node, f, feature, cut, category, sum(0.5e0 - y) AS g, 0.25e0 * count(*) AS h, count(*) AS n FROM {node}_long GROUP BY ALL),
+    {node}_in AS (
+      SELECT node, f, feature, cut, category, CASE WHEN f < 2 THEN sum(g) {up} ELSE g END AS gl, CASE WHEN f < 2 THEN sum(h) {up} ELSE h END AS hl,
+             sum(g) OVER (PARTITION BY node, f) AS g, sum(h) OVER (PARTITION BY node, f) AS h, sum(n) OVER (PARTITION BY node, f) AS n FROM {node}_sums),
+    {node} AS (
+      SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, cut, category) AS rk
+      FROM (SELECT *, {gain} AS gain FROM {node}_in WHERE hl >= 5 AND h - hl >= 5) WHERE gain > 1e-9)
+    """
+
+
+_IN_LEFT = "CASE b.feature WHEN 'hour' THEN hour <= b.cut WHEN 'weekday' THEN weekday <= b.cut ELSE station = b.category END"
+_TREE_SQL = f"""
+, deep0 AS (
+  SELECT 1 AS node, CASE WHEN duration > 100 THEN 1 ELSE 0 END AS y, hour(start_date) AS hour, dayofweek(start_date) + 1 AS weekday,
+         start_station_name AS station FROM hires),
+{_level_sql("cuts0", "deep0")},
+deep1 AS (SELECT 2 * d.node + CASE WHEN {_IN_LEFT} THEN 0 ELSE 1 END AS node, y, hour, weekday, station FROM deep0 d JOIN cuts0 b ON b.node = d.node AND b.rk = 1),
+{_level_sql("cuts1", "deep1")},
+deep2 AS (SELECT 2 * d.node + CASE WHEN {_IN_LEFT} THEN 0 ELSE 1 END AS node, y, hour, weekday, station FROM deep1 d JOIN cuts1 b ON b.node = d.node AND b.rk = 1),
+every AS (SELECT * FROM deep0 UNION ALL SELECT * FROM deep1 UNION ALL SELECT * FROM deep2),
+sums AS (SELECT node, sum(0.5e0 - y) AS g, 0.25e0 * count(*) AS h, count(*) AS n FROM every GROUP BY node),
+best AS (SELECT * FROM cuts0 WHERE rk = 1 UNION ALL SELECT * FROM cuts1 WHERE rk = 1),
+tree AS (
+  SELECT 0 AS round, 0 AS tree, CAST(s.node AS INTEGER) AS node, b.feature, b.cut, b.category,
+         CASE WHEN b.feature IS NOT NULL THEN false END AS missing_left, b.gain, s.h AS cover, s.n AS rows,
+         CASE WHEN b.feature IS NULL THEN -0.1e0 * sign(s.g) * greatest(abs(s.g) - 0.05e0, 0) / (s.h + 0.125e0) END AS value
+  FROM sums s LEFT JOIN best b ON b.node = s.node)
+"""
+
+
+@query("boosted_tree_splits", roles_sql(f"{_TREE_SQL} SELECT * REPLACE (round(gain, 6) AS gain, round(cover, 6) AS cover, round(value, 6) AS value) FROM tree"))
+def boosted_tree_splits(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_small_tree(spark, sf).splits_table(spark))
+
+
+@query(
+    "boosted_tree_importance",
+    roles_sql(f"""{_TREE_SQL}
+    SELECT f.feature, count(t.feature) AS importance_weight, round(coalesce(avg(t.gain), 0), 6) AS importance_gain,
+           round(coalesce(avg(t.cover), 0), 6) AS importance_cover
+    FROM (VALUES ('hour'), ('weekday'), ('station')) f(feature) LEFT JOIN tree t ON t.feature = f.feature GROUP BY f.feature
+    """),
+)
+def boosted_tree_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_small_tree(spark, sf).importance_table(spark))
 
 
 @query("forest_fit")
@@ -419,8 +487,16 @@ def logreg_class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    model, _ = scoring.fit_repurchase(_ratios(spark, sf), training.boosted_trees(max_iter=20, min_rows=5))
-    return tables.importance_table(spark, model)
+    """Number of splits, mean gain and mean cover of every input of the repurchase trees."""
+    return _repurchase_trees(_ratios(spark, sf)).importance_table(spark)
+
+
+def _repurchase_trees(table: DataFrame) -> BoostedTrees:
+    """Trees with both penalties over the training share, a tenth of which decides when to stop."""
+    split = hash_split(hash_split(table, "user_id", 0.75, "repurchase"), "user_id", 0.1, "stop", "stops")
+    numeric = scoring.feature_columns(table, "user_id", "cible")
+    train = split.filter(~F.col("is_eval"))
+    return fit_boosted(train, "cible", "user_id", numeric, max_depth=6, subsample=0.5, l1=1.0, l2=1.0, stops="stops")
 
 
 @query("scoring_run")
@@ -438,20 +514,20 @@ def scoring_run(spark: SparkSession, sf: str) -> DataFrame:
     )
     logistic, logistic_scored = scoring.fit_repurchase(table, training.logistic())
     lasso, lasso_scored = scoring.fit_repurchase(table, training.logistic(l1=0.01, max_iter=30), weights=balance)
-    stopped = hash_split(table, "user_id", 0.1, "stop", "stops")
-    trees = training.boosted_trees(min_rows=5, validation="stops")
-    boosted, boosted_scored = scoring.fit_repurchase(stopped, trees, extra=["stops"])
+    boosted = _repurchase_trees(table)
+    importance = boosted.importance_table(spark)
+    importance = importance.unpivot("feature", importance.columns[1:], "item", "value")
     runs = {
         "logistic": (logistic_scored, 0.236, tables.weights_table(spark, logistic)),
         "logistic_penalised": (lasso_scored, 0.236, tables.weights_table(spark, lasso)),
         "constant_rate": (constant_rate.transform(split, "score"), 0.236, constant_rate.weights_table(spark)),
-        "boosted": (boosted_scored, 0.5, tables.importance_table(spark, boosted)),
+        "boosted": (boosted.transform(split), 0.5, importance),
     }
     result = None
     for name, (scored, threshold, learnt) in runs.items():
         kept = materialize(scored.select("user_id", "cible", "is_eval", "score"), f"scored_{name}")
-        item, at, value = ("importance", "feature", "importance") if name == "boosted" else ("weight", "processed_input", "weight")
-        learnt = learnt.select(F.lit(item).alias("item"), F.col(at).alias("at"), F.col(value).alias("value"))
+        item, at, value = (F.col("item"), "feature", "value") if name == "boosted" else (F.lit("weight"), "processed_input", "weight")
+        learnt = learnt.select(item.alias("item"), F.col(at).alias("at"), F.col(value).cast("double").alias("value"))
         shares = [("all", scoring.report(kept, "cible", threshold))]
         shares += [("held_out", scoring.report(kept.filter("is_eval"), "cible", threshold)), (None, learnt)]
         for part, found in shares:

@@ -47,7 +47,7 @@ def test_same_as_sql(spark, db, plan, key):
     assert ordered(result.columns, result.collect()) == ordered(names, expected.fetchall())
 
 
-@pytest.mark.parametrize("key", ["limit_any", "linreg_elastic", "linreg_gd", "model_weights", "logreg_fit"])
+@pytest.mark.parametrize("key", ["limit_any", "linreg_elastic", "linreg_gd", "model_weights", "logreg_fit", "boosted_trees_fit", "feature_importance"])
 def test_has_rows(spark, key):
     assert QUERIES[key](spark, SF).count() > 0
 
@@ -57,7 +57,7 @@ def test_scoring_run_is_whole(spark):
     models = ["boosted", "constant_rate", "logistic", "logistic_penalised"]
     for part, item in (("all", "confusion"), ("held_out", "confusion"), ("all", "roc_recall")):
         assert sorted({r.model for r in found if r.part == part and r.item == item}) == models
-    learnt = {m: {r["at"]: r.value for r in found if r.model == m and r.item == ("importance" if m == "boosted" else "weight")} for m in models}
+    learnt = {m: {r["at"]: r.value for r in found if r.model == m and r.item == ("importance_gain" if m == "boosted" else "weight")} for m in models}
     inputs = set(learnt["boosted"])
     assert inputs and not inputs & {"stops", "is_eval", "class_weight", "cible", "user_id"}
     assert all(set(learnt[m]) == inputs | {"__INTERCEPT__"} for m in models[1:])
