@@ -339,10 +339,50 @@ def linreg_gd(spark: SparkSession, sf: str) -> DataFrame:
 def model_weights(spark: SparkSession, sf: str) -> DataFrame:
     """Category weights that the penalty has left, per input."""
     model, _ = _descent(spark, sf, "plain", 0.2, 0.1, 0.1)
-    kept = tables.category_weights(model.weights_table(spark)).filter(F.col("weight") != 0)
+    kept = model.categories.filter(F.col("weight") != 0)
     return kept.groupBy("processed_input").agg(F.count(F.lit(1)).alias("n"))
 
 
+
+def _unrolled_sql(steps: int) -> str:
+    """Weights after some steps of descent, each step as SQL of its own."""
+    shrink = "sign({m}) * greatest(abs({m}) - 0.005e0, 0)"
+    parts = [
+        """, x AS (
+          SELECT duration AS y, start_station_name AS station, CASE WHEN dayofweek(start_date) BETWEEN 1 AND 5 THEN 'weekday' ELSE 'weekend' END AS day,
+                 (hour(start_date) - avg(hour(start_date)) OVER ()) / stddev_pop(hour(start_date)) OVER () AS h FROM hires),
+        station0 AS (SELECT DISTINCT station, 0e0 AS w FROM x), day0 AS (SELECT DISTINCT day, 0e0 AS w FROM x),
+        p0 AS (SELECT 0e0 AS hw, avg(y) AS b, count(*) AS n FROM x)"""
+    ]
+    for k in range(steps):
+        parts.append(f"""r{k} AS (
+          SELECT x.*, n, p.b + p.hw * h + s.w + d.w - y AS r FROM x JOIN station{k} s USING (station) JOIN day{k} d USING (day) CROSS JOIN p{k} p)""")
+        for c in ("station", "day"):
+            moved = "w - 0.05e0 * (slope + 0.1e0 * w)"
+            parts.append(f"""{c}{k + 1} AS (SELECT {c}, {shrink.format(m=f'({moved})')} AS w
+              FROM (SELECT t.{c}, any_value(t.w) AS w, sum(r) / any_value(n) AS slope FROM r{k} JOIN {c}{k} t USING ({c}) GROUP BY t.{c}))""")
+        moved = "(hw - 0.05e0 * (slope + 0.1e0 * hw))"
+        parts.append(f"""p{k + 1} AS (SELECT {shrink.format(m=moved)} AS hw, b - 0.05e0 * mean AS b, n
+          FROM (SELECT any_value(hw) AS hw, any_value(b) AS b, any_value(p.n) AS n, sum(r * h) / any_value(p.n) AS slope, sum(r) / any_value(p.n) AS mean FROM r{k} CROSS JOIN p{k} p))""")
+    last = f"""
+    SELECT 'station' AS processed_input, station AS category, round(w, 6) AS weight FROM station{steps}
+    UNION ALL SELECT 'day', day, round(w, 6) FROM day{steps}
+    UNION ALL SELECT 'hour', NULL, round(hw / (SELECT stddev_pop(hour(start_date)) FROM hires), 6) FROM p{steps}
+    UNION ALL SELECT '__INTERCEPT__', NULL, round(b - hw * (SELECT avg(hour(start_date)) / stddev_pop(hour(start_date)) FROM hires), 6) FROM p{steps}"""
+    return ", ".join(parts) + last
+
+
+@query("linreg_gd_steps", roles_sql(_unrolled_sql(4)))
+def linreg_gd_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Every weight after four steps: station and day type as categories, the hour as a number."""
+    rows = roles.hires(spark, sf).select(
+        "duration", F.col("start_station_name").alias("station"), day_type("start_date").alias("day"), F.hour("start_date").alias("hour")
+    )
+    model = fit_descent(rows, "duration", ["station", "day"], ["hour"], max_iter=4, l1=0.1, l2=0.1, min_rel_progress=0.0)
+    plain = model.weights_table(spark).filter("weight is not null").select("processed_input", F.lit(None).cast("string").alias("category"), "weight")
+    return _rounded(model.categories.unionByName(plain))
+
+
 @query("trip_duration_model")
 def trip_duration_model(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out errors of the four feature versions and of the plain least-squares model."""

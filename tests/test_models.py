@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tablejobs.models import clustering, metrics, tables, training
+from tablejobs.models import descent
 from tablejobs.models.descent import fit_descent
 from tablejobs.models.features import TripFeatures, trip_columns
 from tablejobs.session import work_dir
@@ -210,7 +211,7 @@ def test_descent_steps_as_numpy_does(spark):
         moved = weights - 0.1 * (gradient + 0.02 * weights)
         weights = np.sign(moved) * np.maximum(np.abs(moved) - 0.1 * 0.05, 0)
     assert model.history == pytest.approx(losses)
-    assert [model.categories["s"][str(i)] for i in range(3)] == pytest.approx(weights[:3])
+    assert [r["weight"] for r in model.categories.orderBy("category").collect()] == pytest.approx(weights[:3])
     assert model.numbers["x"] == pytest.approx(weights[3] / x.std())
     found = [r["prediction"] for r in model.transform(df).orderBy("x").collect()]
     assert found == pytest.approx((matrix @ weights + intercept)[np.argsort(x)])
@@ -247,11 +248,24 @@ def test_named_categories_are_hashed(spark):
         training.fit(df, "y", training.linear(), categorical=["few"], hashed=["other"])
 
 
-def test_descent_takes_as_many_categories_as_the_caller_allows(spark):
-    df = spark.range(40).selectExpr("string(id) as c", "double(id % 2) as y")
-    with pytest.raises(ValueError, match="up to 10"):
-        fit_descent(df, "y", ["c"], max_categories=10)
-    assert len(fit_descent(df, "y", ["c"], max_iter=2).categories["c"]) == 40
+def test_descent_takes_any_number_of_categories(spark, monkeypatch):
+    """A million categories, joined by shuffle, beside a column of few, broadcast; steps as in numpy."""
+    monkeypatch.setattr(descent, "BROADCAST_BYTES", 10_000)
+    n = 1_000_000
+    df = spark.range(n).selectExpr("concat('k', id) as many", "string(id % 3) as few", "double(id % 5) as y")
+    model = fit_descent(df, "y", ["many", "few"], learn_rate=0.5, max_iter=3, l2=0.01, min_rel_progress=0.0)
+    assert model.small == [False, True] and model.categories.filter("processed_input = 'many'").count() == n
+    i = np.arange(n)
+    y, many, groups, intercept = (i % 5).astype(float), np.zeros(n), np.zeros(3), 2.0
+    for _ in range(3):
+        r = intercept + many + groups[i % 3] - y
+        intercept -= 0.5 * r.mean()
+        many = many - 0.5 * (r / n + 0.01 * many)
+        groups = groups - 0.5 * (np.bincount(i % 3, weights=r) / n + 0.01 * groups)
+    found = {(r["processed_input"], r["category"]): r["weight"] for r in model.categories.filter("processed_input = 'few' or category in ('k7', 'k999999')").collect()}
+    assert [found["few", str(k)] for k in range(3)] == pytest.approx(groups.tolist(), abs=1e-12)
+    assert [found["many", f"k{k}"] for k in (7, 999_999)] == pytest.approx([many[7], many[999_999]])
+    assert model.transform(df.filter("many = 'k0'")).first()["prediction"] == pytest.approx(intercept + many[0] + groups[0])
 
 
 def test_regression_metrics_leave_out_rows_without_prediction(spark):
@@ -261,7 +275,7 @@ def test_regression_metrics_leave_out_rows_without_prediction(spark):
 
 def test_descent_without_labels_null_categories_and_rising_loss(spark):
     df = spark.createDataFrame([("a", 10.0), ("a", None), (None, 5.0), (None, 5.0), ("a", 10.0)], "c string, y double")
-    model = fit_descent(df, "y", ["c"], learn_rate=0.5, max_iter=200, min_rel_progress=0.0)
+    model = fit_descent(df, "y", ["c"], learn_rate=1.0, max_iter=60, min_rel_progress=0.0)
     found = {r["c"]: round(r["prediction"], 2) for r in model.transform(df).collect()}
     assert found == {"a": 10.0, None: 5.0}
     with pytest.raises(ValueError, match="learn rate"):
