@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablejobs.operators import exact_quantiles
+from tablejobs.operators import exact_quantiles, prefix_sums
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -91,22 +91,30 @@ def confusion_matrix(df: DataFrame, label: str, score: str, threshold: float = 0
     )
 
 
-def roc_curve(df: DataFrame, label: str, score: str, bins: int = 100) -> DataFrame:
-    """One row per threshold k / ``bins`` at which some score falls: recall, false positive rate and the four counts.
+def roc_curve(df: DataFrame, label: str, score: str, bins: int | None = 100) -> DataFrame:
+    """One row per threshold k / ``bins`` at which some score falls: recall, false positive rate and the four counts. With
+    ``bins=None`` every score is a threshold. Rows without score are left out.
 
-    Scores are counted by bin before anything is ordered, so the only ordered window sees at most ``bins`` + 1 rows.
+    Scores are counted before anything is ordered. Up to ``bins`` + 1 rows meet in a window; distinct scores, which may be as
+    many as the rows, are added up over ranges (``prefix_sums``).
     """
-    binned = df.select(F.col(label).cast("int").alias("y"), F.floor(F.col(score) * bins).alias("bin"))
+    at = F.col(score).cast("double") if bins is None else F.floor(F.col(score) * bins)
+    binned = df.select(F.col(label).cast("int").alias("y"), at.alias("bin")).filter("bin is not null")
     counts = binned.groupBy("bin").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
-    down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy()
-    counted = counts.select(
-        (F.col("bin") / bins).alias("threshold"),
-        F.sum("p").over(down).alias("true_positives"),
-        F.sum("n").over(down).alias("false_positives"),
-        F.sum("p").over(whole).alias("pos"),
-        F.sum("n").over(whole).alias("neg"),
-    )
+    if bins is None:
+        summed = prefix_sums(counts, ["bin"], {"true_positives": "p", "false_positives": "n"}, descending=True)
+        total = summed.agg(F.struct(F.sum("p").alias("pos"), F.sum("n").alias("neg")).alias("t")).scalar()
+        counted = summed.select(F.col("bin").alias("threshold"), "true_positives", "false_positives", total["pos"].alias("pos"), total["neg"].alias("neg"))
+    else:
+        down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy()
+        counted = counts.select(
+            (F.col("bin") / bins).alias("threshold"),
+            F.sum("p").over(down).alias("true_positives"),
+            F.sum("n").over(down).alias("false_positives"),
+            F.sum("p").over(whole).alias("pos"),
+            F.sum("n").over(whole).alias("neg"),
+        )
     return counted.select(
         "threshold",
         F.try_divide("true_positives", "pos").alias("recall"),

@@ -10,6 +10,7 @@ from tablejobs.operators.joins import (
 )
 from tablejobs.operators.nested import flatten, lines_json, nest_lines
 from tablejobs.operators.pivoting import pivot_agg, unpivot
+from tablejobs.operators.prefix import prefix_sums
 from tablejobs.operators.quantiles import exact_quantiles, quartile_classes, quartiles
 from tablejobs.operators.ranking import partition_sum, ratio_to_subtotal, top_k_per_group, top_names
 from tablejobs.operators.sampling import hash_fraction, hash_sample, hash_split
@@ -29,6 +30,7 @@ __all__ = [
     "nest_lines",
     "partition_sum",
     "pivot_agg",
+    "prefix_sums",
     "quartile_classes",
     "quartiles",
     "ratio_to_subtotal",

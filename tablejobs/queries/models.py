@@ -178,6 +178,20 @@ def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.roc_curve(_scored(spark, sf), "label", "score")
 
 
+@query(
+    "roc_curve_every_score",
+    roles_sql(f"""{_SCORED}
+    , counted AS (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM scored GROUP BY score),
+    summed AS (SELECT score, CAST(sum(p) OVER (ORDER BY score DESC) AS BIGINT) AS tp, CAST(sum(n) OVER (ORDER BY score DESC) AS BIGINT) AS fp,
+                      CAST(sum(p) OVER () AS BIGINT) AS pos, CAST(sum(n) OVER () AS BIGINT) AS neg FROM counted)
+    SELECT score AS threshold, tp / pos AS recall, fp / neg AS false_positive_rate, tp AS true_positives,
+           fp AS false_positives, neg - fp AS true_negatives, pos - tp AS false_negatives FROM summed
+    """),
+)
+def roc_curve_every_score(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.roc_curve(_scored(spark, sf), "label", "score", bins=None)
+
+
 @query(
     "class_weights",
     roles_sql("SELECT cible, count(*) AS n, sum(CASE WHEN cible = 1 THEN 0.75e0 ELSE 0.25e0 END) AS weight FROM target GROUP BY cible"),
