@@ -13,10 +13,19 @@ def cond_count_distinct(
 ) -> DataFrame:
     """Many ``COUNT(DISTINCT CASE WHEN category IN (…) THEN distinct END)`` per key; ``groups`` maps output column to categories.
 
-    The category is replaced by its output column and the rows are made distinct once; what is left is a plain count.
+    The category is replaced by its output column, or by one row for each of them where columns share it, and the rows are made
+    distinct once; what is left is a plain count.
     """
-    entries = [F.lit(x) for name, values in groups.items() for v in values for x in (v, name)]
-    label = F.try_element_at(F.create_map(*entries), F.col(category)).alias("__group")
+    names: dict[str, list[str]] = {}
+    for name, values in groups.items():
+        for v in dict.fromkeys(values):
+            names.setdefault(v, []).append(name)
+    if any(len(own) > 1 for own in names.values()):
+        entries = [x for v, own in names.items() for x in (F.lit(v), F.array(*[F.lit(n) for n in own]))]
+        label = F.explode_outer(F.try_element_at(F.create_map(*entries), F.col(category))).alias("__group")
+    else:
+        entries = [F.lit(x) for v, own in names.items() for x in (v, own[0])]
+        label = F.try_element_at(F.create_map(*entries), F.col(category)).alias("__group")
     once = df.select(*keys, distinct, label).distinct()
     return once.groupBy(*keys).agg(
         *[F.count(F.when(F.col("__group") == name, F.col(distinct))).alias(name) for name in groups]

@@ -79,6 +79,22 @@ def count_distinct_by_category(spark: SparkSession, sf: str) -> DataFrame:
     return cond_count_distinct(table(spark, sf, "lineitem"), ["l_suppkey"], "l_orderkey", "l_returnflag", groups)
 
 
+@query(
+    "cond_count_distinct_overlap",
+    """
+    SELECT l_suppkey, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_orderkey END) AS returned,
+           count(DISTINCT CASE WHEN l_returnflag IN ('A', 'R') THEN l_orderkey END) AS closed,
+           count(DISTINCT CASE WHEN l_returnflag IN ('A', 'N', 'R') THEN l_orderkey END) AS every,
+           count(DISTINCT CASE WHEN l_returnflag = 'none' THEN l_orderkey END) AS none
+    FROM lineitem GROUP BY l_suppkey
+    """,
+)
+def count_distinct_by_shared_category(spark: SparkSession, sf: str) -> DataFrame:
+    """Output columns that share categories."""
+    groups = {"returned": ["R"], "closed": ["A", "R"], "every": ["A", "N", "R"], "none": ["none"]}
+    return cond_count_distinct(table(spark, sf, "lineitem"), ["l_suppkey"], "l_orderkey", "l_returnflag", groups)
+
+
 @query(
     "flag_max_case",
     """

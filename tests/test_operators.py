@@ -240,3 +240,9 @@ def test_split_and_fraction_agree(spark):
     assert chosen == {k for k in range(2000) if digest(k, "x")[:4] < "4000"}
     assert chosen == {r[0] for r in hash_fraction(df, "id", 0.25, "x").collect()}
     assert hash_fraction(df, "id", 1.0).count() == 2000
+
+
+def test_categories_shared_by_output_columns(spark):
+    df = spark.createDataFrame([(1, 10, "a"), (1, 10, "b"), (1, 11, "b"), (1, None, "a"), (2, 12, None), (3, 13, "z")], "k int, o int, c string")
+    found = cond_count_distinct(df, ["k"], "o", "c", {"a": ["a", "a"], "ab": ["a", "b"], "none": []})
+    assert rows(found, "k") == [(1, 1, 2, 0), (2, 0, 0, 0), (3, 0, 0, 0)]
