@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tablejobs.llm import text as T
 from tablejobs.llm.shared import join_ids, written
+from tablejobs.operators import hash_sample
 
 TRAIN_ROWS = 16_000
 SHARDS = 1  # tasks that learn; each sees an equal part of the sample
@@ -69,8 +70,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
     """(place, weight) learnt from the labelled rows that are not held out. ``labels`` has (doc_id, toxic); rows without id,
     label or document teach nothing, an id with several texts teaches from one of them, and without any the result is empty."""
     usable = labels.where("doc_id is not null and toxic is not null").where(~held_out("doc_id"))
-    chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = written(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "toxic_labels")
+    by_id = written(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic_ids")
+    # Counts of hash classes tell which ids come in question, so no task sees train_rows of every partition.
+    chosen = written(hash_sample(by_id, "doc_id", train_rows), "toxic_labels")
     texts = join_ids(docs.select("doc_id", "text"), chosen.select("doc_id"), "doc_id", "left_semi")
     # A repeated id teaches once, so that the bound is one of rows: from the text with the smallest hash.
     texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))

@@ -1,5 +1,8 @@
+import math
 import zlib
 
+import numpy as np
+
 from tablejobs.llm import toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -39,3 +42,41 @@ def test_a_repeated_id_teaches_once(spark):
     again = docs.where(f"doc_id = {learnt}").selectExpr("doc_id", "text", "explode(sequence(1, 50)) as k").drop("k")
     one, two = (sorted(map(tuple, toxicity.train(x, labels).collect())) for x in (docs, docs.union(again)))
     assert one and one == two
+
+
+def plain_ftrl(rows, labels):
+    """FTRL-proximal with a dictionary for each sum, one coordinate after another."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - math.copysign(toxicity.L1, z[i])) * toxicity.RATE / (toxicity.SMOOTH + math.sqrt(n[i]))
+
+    for _ in range(toxicity.EPOCHS):
+        for places, label in zip(rows, labels):
+            old = {i: weight(i) for i in places}
+            slope = (1 / (1 + math.exp(-sum(old.values()))) - label) * (toxicity.TOXIC_WEIGHT if label else 1)
+            for i in places:
+                before, now = math.sqrt(n.get(i, 0.0)), math.sqrt(n.get(i, 0.0) + slope * slope)
+                n[i] = n.get(i, 0.0) + slope * slope
+                z[i] = z.get(i, 0.0) + slope - (now - before) / toxicity.RATE * old[i]
+    return {i: weight(i) for i in n if weight(i)}
+
+
+def test_weights_equal_plain_ftrl():
+    bad, good = "you awful stupid person go away", "the weather report for the coast is mild"
+    texts = [f"{bad if k % 3 == 0 else good} number {k % 7}" for k in range(90)]
+    labels = [int(k % 3 == 0) for k in range(90)]
+    places, weights = toxicity.fit(texts, labels)
+    expected = plain_ftrl([toxicity.features(t).tolist() for t in texts], labels)
+    assert len(expected) > 5 and set(places.tolist()) == set(expected)
+    assert np.allclose(weights, [expected[i] for i in places.tolist()], atol=1e-3)
+
+
+def test_the_sample_is_bounded_and_does_not_depend_on_partitions(spark):
+    docs = spark.range(600).selectExpr("id as doc_id", "concat('word', id % 5, ' and word', id % 7) as text")
+    labels = spark.range(600).selectExpr("id as doc_id", "cast(id % 5 = 0 as int) as toxic")
+    one, two = (sorted(map(tuple, toxicity.train(docs, x, 100).collect())) for x in (labels.repartition(1), labels.repartition(13)))
+    assert one and one == two
+    assert one != sorted(map(tuple, toxicity.train(docs, labels).collect()))
