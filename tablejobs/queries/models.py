@@ -10,6 +10,7 @@ from tablejobs.models import clustering, metrics, tables, training
 from tablejobs.models.boosting import BoostedTrees, fit_boosted
 from tablejobs.models.descent import fit_descent
 from tablejobs.models.features import HOUR_SPLITS, TripFeatures, trip_columns
+from tablejobs.models.optimality import residuals
 from tablejobs.operators import hash_sample, hash_split
 from tablejobs.plans import hires as hire_plan
 from tablejobs.plans import scoring, segmentation
@@ -524,6 +525,69 @@ def trip_type_model(spark: SparkSession, sf: str) -> DataFrame:
     return result
 
 
+# --- how good the fits are ----------------------------------------------------------------------------------------------
+
+RESIDUAL = 1e-3  # a fit whose subgradients are all below this is at its optimum
+UNEQUAL = {1: 0.8, 0: 0.2}
+
+_PLACES_SQL = """
+SELECT 'station' AS processed_input, start_station_name AS category, count(*) AS n, true AS optimal FROM hires GROUP BY ALL
+UNION ALL SELECT 'dayofweek', CASE WHEN dayofweek(start_date) BETWEEN 1 AND 5 THEN 'weekday' ELSE 'weekend' END, count(*), true FROM hires GROUP BY ALL
+UNION ALL SELECT 'hourofday', lpad(CAST(hour(start_date) AS VARCHAR), 2, '0'), count(*), true FROM hires GROUP BY ALL
+UNION ALL SELECT '__INTERCEPT__', NULL, count(*), true FROM hires HAVING count(*) > 0
+"""
+
+
+def _plain_hires(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    labelled = roles.hires(spark, sf).withColumn("is_long", (F.col("duration") > roles.LONG_TRIP).cast("int"))
+    return materialize(TripFeatures("plain").transform(labelled), "plain_hires"), list(trip_columns("plain"))
+
+
+def _verdicts(found: DataFrame) -> DataFrame:
+    return found.select("processed_input", "category", "n", (F.col("residual") < RESIDUAL).alias("optimal"))
+
+
+@query("linreg_elastic_optimality", roles_sql(_PLACES_SQL))
+def linreg_elastic_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each weight of the elastic net over all hires is where its penalised loss is least."""
+    rows, categorical = _plain_hires(spark, sf)
+    model = training.fit(rows, "duration", training.linear(0.1, 0.1), categorical=categorical)
+    return _verdicts(residuals(model, rows, "duration", categorical, l1=0.1, l2=0.1))
+
+
+@query("logreg_optimality", roles_sql(_PLACES_SQL))
+def logreg_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the classifier of long hires, which is fitted on merged rows and examined on all."""
+    rows, categorical = _plain_hires(spark, sf)
+    model = training.fit(rows, "is_long", training.logistic(0.001, 0.001, 100, standardize=False), categorical=categorical, count_rows=True)
+    return _verdicts(residuals(model, rows, "is_long", categorical, loss="log", l1=0.001, l2=0.001, standardize=False))
+
+
+@query("logreg_class_weights_optimality", roles_sql(_PLACES_SQL))
+def logreg_class_weights_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the lasso with long hires weighing four times the others."""
+    rows, categorical = _plain_hires(spark, sf)
+    weight = training.class_weight("is_long", UNEQUAL)
+    model = training.fit(rows, "is_long", training.logistic(l1=0.01), categorical=categorical, weight=weight)
+    return _verdicts(residuals(model, rows, "is_long", categorical, loss="log", l1=0.01, weight=weight))
+
+
+@query(
+    "logreg_class_weight_shares",
+    roles_sql("""
+    SELECT CAST(dayofweek(start_date) + 1 AS VARCHAR) AS weekday, round(0.8e0 * sum(y) / (0.8e0 * sum(y) + 0.2e0 * sum(1 - y)), 3) AS share
+    FROM (SELECT start_date, CASE WHEN duration > 100 THEN 1 ELSE 0 END AS y FROM hires) GROUP BY ALL
+    """),
+)
+def logreg_class_weight_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """With one category and no penalty the scores are the weighted shares of class 1, which SQL knows."""
+    rows, _ = _plain_hires(spark, sf)
+    rows = rows.select("is_long", F.dayofweek("start_date").cast("string").alias("weekday"))
+    estimator = training.logistic(max_iter=200).setTol(1e-10)
+    model = training.fit(rows, "is_long", estimator, categorical=["weekday"], weight=training.class_weight("is_long", UNEQUAL), count_rows=True)
+    return _rounded(training.score(model, rows.select("weekday").distinct(), "share"), 3)
+
+
 # --- repurchase models --------------------------------------------------------------------------------------------------
 
 
