@@ -121,6 +121,28 @@ def nested_json_export(spark: SparkSession, sf: str) -> DataFrame:
     return flatten(sources.read_json(spark, path, nested.schema), "details")
 
 
+@query(
+    "json_pieces_export",
+    roles_sql("""
+    , placed_lines AS (
+      SELECT s.order_id, s.user_id, s.eval_set, s.order_number, s.days_since_prior_order,
+             json_object('product_id', l.product_id, 'add_to_cart_order', l.add_to_cart_order, 'reordered', l.reordered) AS line,
+             row_number() OVER (PARTITION BY s.order_id ORDER BY l.product_id, l.add_to_cart_order, l.reordered) AS nth
+      FROM scope s LEFT JOIN scope_lines l ON s.order_id = l.order_id)
+    SELECT CASE WHEN nth > 1 THEN ',' || line ELSE rtrim(CAST(json_object(
+             'order_id', order_id, 'user_id', user_id, 'eval_set', eval_set, 'order_number', order_number,
+             'days_since_prior_order', days_since_prior_order) AS VARCHAR), '}') || ',"details":[' || line END AS value
+    FROM placed_lines UNION ALL SELECT ']}' FROM scope
+    """),
+)
+def json_pieces_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Text lines of the nested export without an array cell, read back."""
+    scoped = baskets.scope_orders(roles.orders(spark, sf)).drop("order_dow", "order_hour_of_day")
+    scoped = scoped.select("order_id", "user_id", "eval_set", "order_number", "days_since_prior_order")
+    fields = ["product_id", "add_to_cart_order", "reordered"]
+    return spark.read.text(sources.export_json_pieces(scoped, roles.lines(spark, sf), "order_id", fields, work_dir(spark, "pieces")))
+
+
 @query(
     "append_generated_rows",
     """

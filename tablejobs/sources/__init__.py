@@ -1,4 +1,4 @@
-from tablejobs.sources.files import export_json, read_csv, read_csv_inferred, read_json, write_csv
+from tablejobs.sources.files import export_json, export_json_pieces, read_csv, read_csv_inferred, read_json, write_csv
 from tablejobs.sources.local import local_table, lookup_join
 from tablejobs.sources.tables import (
     append_rows,
@@ -16,6 +16,7 @@ __all__ = [
     "clustered_write",
     "create_table",
     "export_json",
+    "export_json_pieces",
     "local_table",
     "lookup_join",
     "materialize",
