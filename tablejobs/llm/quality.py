@@ -1,21 +1,26 @@
 """Quality rules in column expressions, evaluated as a short-circuit cascade.
 
-The cost of each rule and the share of documents it rejects are estimated on a bounded sample; the cascade tries the rules with
-the most rejections per cost first, and a document meets only the rules up to its first failure. The order never changes a
-verdict. Everything is Spark SQL within the row, so nothing is shuffled: words are arrays, repeated windows are found by
-comparing and, where there are many, sorting their hashes.
+The cost of each rule and the share of documents it rejects are estimated on a sample of rows from all partitions; the cascade
+tries the rules with the most rejections per cost first, and a document meets only the rules up to its first failure. The words
+are split once and shared by the rules. The order never changes a verdict. Everything is Spark SQL within the row, so nothing is
+shuffled: words are arrays, repeated windows are found by comparing and, where there are many, sorting their hashes.
 """
 
 from __future__ import annotations
 
-import time
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablejobs.llm.arrays import let
+from tablejobs.llm.shared import written
+
 BLANK = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
-SAMPLE_ROWS = 500  # rows on which cost and selectivity are estimated; they only choose an order
+SAMPLE_ROWS = 500  # about as many rows show cost and selectivity; they only choose an order
+SAMPLE_SEED = 7
+REPEATS = 3  # evaluations of each rule on a row, of which the fastest counts
 FEW = 16  # repeated windows up to which each window is looked up in their list; beyond it the windows are sorted
 
 # A document is rejected if one of these holds. The first two are the base; the others are this cascade's own verdict.
@@ -48,10 +53,6 @@ def measures(text: str, words: str | None = None, lines: str | None = None) -> d
     def only(characters: str) -> str:
         return f"cast(char_length(regexp_replace({text}, '[^{characters}]+', '')) as bigint)"
 
-    def let(value: str, name: str, body: str) -> str:
-        """``body`` with ``name`` bound to the value, which is computed once."""
-        return f"transform(array({value}), {name} -> {body})[0]"
-
     def covered(windows: str) -> str:
         """Words in the windows at these places."""
         return f"size(array_distinct(flatten(transform({windows}, p -> array(p, p + 1, p + 2)))))"
@@ -76,28 +77,57 @@ def measures(text: str, words: str | None = None, lines: str | None = None) -> d
     }
 
 
-def _spelled(rule: str, sql: dict[str, str]) -> str:
-    """The rule with each measure replaced by its SQL."""
-    return " ".join(sql.get(part, part) for part in rule.split(" "))
+def _spelled(rule: str, text: str, words: str, lines: str | None = None) -> str:
+    """The rule with each measure replaced by its SQL. Without ``lines`` a rule on lines splits the text, once."""
+    sql = measures(text, words, lines or "lines_")
+    parts = rule.split(" ")
+    spelled = " ".join(sql.get(part, part) for part in parts)
+    return spelled if lines or not {"n_lines", "n_dup_lines"} & set(parts) else let(line_list(text), "lines_", spelled)
+
+
+def sample(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``rows`` texts, each row chosen with the same chance; the same ones for the same partitions. They stay on the
+    executors: no text comes to the driver."""
+    share = min(1.0, rows / max(docs.count(), 1))
+    texts = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return written(texts.where(F.rand(SAMPLE_SEED) < share), "quality_sample")
+
+
+def estimates(texts: DataFrame, rules: dict[str, str] = RULES) -> dict[str, tuple[float, int]]:
+    """Nanoseconds a row and number of rejected rows of each rule, from one job over the sample: the clock is read in the row,
+    before and after the rule. What all rules share, the split into words, is in no rule's cost."""
+    clock = "cast(reflect('java.lang.System', 'nanoTime') as bigint)"
+    given = texts.select("text", F.expr(word_list("text")).alias("words"), F.explode(F.sequence(F.lit(1), F.lit(REPEATS))).alias("turn"))
+    given = given.withColumn("row", F.xxhash64("text"))
+    timed = [F.expr(f"struct({clock} as a, {_spelled(rule, 'text', 'words')} as hit, {clock} as b)").alias(name) for name, rule in rules.items()]
+    best = given.select("row", "turn", *timed).groupBy("row").agg(
+        F.count_if(F.col("turn") == 1).alias("n"),
+        *[F.min(F.col(name)["b"] - F.col(name)["a"]).alias(f"{name}_time") for name in rules],
+        *[F.bool_or(F.col(name)["hit"]).alias(f"{name}_hit") for name in rules],
+    )
+    totals = best.agg(
+        F.sum("n").alias("n"),
+        *[F.sum(F.col("n") * F.col(f"{name}_time")).alias(f"{name}_time") for name in rules],
+        *[F.sum(F.col("n") * F.col(f"{name}_hit").cast("long")).alias(f"{name}_hit") for name in rules],
+    ).first()
+    return {name: ((totals[f"{name}_time"] or 0) / max(totals["n"] or 0, 1), totals[f"{name}_hit"] or 0) for name in rules}
+
+
+def ranked(found: dict[str, tuple[float, int]]) -> list[str]:
+    """Names by rejections per cost, the best first. Costs count in powers of four, and rules alike in both keep their order, so
+    that small differences between runs change nothing."""
+    return sorted(found, key=lambda name: -(found[name][1] + 1) / 4.0 ** round(math.log(max(found[name][0], 1), 4)))
 
 
 def order(docs: DataFrame, text_col: str = "text", rules: dict[str, str] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Names of the rules, those with the most rejections per second first, as seen on ``sample_rows`` rows."""
-    # take() reads as few partitions as it needs; limit() would move a sample of every partition into one task.
-    rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text")).take(sample_rows)
-    sample = docs.sparkSession.createDataFrame([(r.text,) for r in rows], "text string").coalesce(1)
-    sql, worth = measures("text"), {}
-    for name, rule in rules.items():
-        began = time.perf_counter()
-        rejected = sample.select(F.expr(f"count_if({_spelled(rule, sql)})")).first()[0]
-        worth[name] = (rejected + 1) / (len(rows) + 1) / (time.perf_counter() - began)
-    return sorted(rules, key=lambda name: -worth[name])
+    """Names of the rules, those with the most rejections per time first, as seen on about ``sample_rows`` rows."""
+    return ranked(estimates(sample(docs, text_col, sample_rows), rules))
 
 
-def cascade(names: list[str], sql: dict[str, str], rules: dict[str, str] = RULES) -> Column:
-    """True where no rule holds. A rule is evaluated only where none before it held."""
-    tried = "".join(f" when {_spelled(rules[name], sql)} then false" for name in names)
-    return F.expr(f"case{tried} else true end")
+def cascade(names: list[str], text: str, words: str, lines: str | None = None, rules: dict[str, str] = RULES) -> str:
+    """SQL that is true where no rule holds. A rule is evaluated only where none before it held."""
+    tried = "".join(f" when {_spelled(rules[name], text, words, lines)} then false" for name in names)
+    return f"case{tried} else true end"
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,11 +140,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     found = given.select("doc_id", "text", "words", "lines", *[F.expr(sql[name]).alias(name) for name in shown])
     base_failed = F.expr(" or ".join(f"({rule})" for rule in BASE.values()))
-    rest = {name: value for name, value in sql.items() if name not in shown}
-    return found.select("doc_id", *shown, base_failed.alias("base_failed"), cascade(names, rest).alias("kept"))
+    rest = {name: " ".join(f"`{part}`" if part in shown else part for part in rule.split(" ")) for name, rule in RULES.items()}
+    kept = F.expr(cascade(names, "text", "words", "lines", rest))
+    return found.select("doc_id", *shown, base_failed.alias("base_failed"), kept.alias("kept"))
 
 
 def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows that no rule rejects, all columns as they are. Rows with null, empty or blank texts go."""
-    sql = measures(f"coalesce(`{text_col}`, '')")
-    return docs.where(cascade(order(docs, text_col), sql))
+    kept = cascade(order(docs, text_col), "text_", "words_")
+    return docs.where(F.expr(let(f"coalesce(`{text_col}`, '')", "text_", let(word_list("text_"), "words_", kept))))

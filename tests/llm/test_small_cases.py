@@ -149,6 +149,23 @@ def test_quality_measures_and_verdicts(spark):
     assert quality.keep(docs).columns == docs.columns and quality.keep(docs.limit(0)).count() == 0
 
 
+def test_quality_order_and_cascade(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(4).selectExpr("*", "1 as text_", "2 as words_", "3 as lines")
+    found = quality.estimates(quality.sample(docs, rows=10**6))
+    kept = {r.doc_id for r in quality.report(docs).where("kept").collect()}
+    assert {r.doc_id for r in quality.keep(docs).collect()} == kept
+    assert found["few_words"][1] == quality.report(docs).where("n_words < 50").count() and all(cost > 0 for cost, _ in found.values())
+    assert 0 < quality.sample(docs, rows=50).count() < 100 and quality.sample(docs.limit(0)).count() == 0
+    assert quality.ranked(found)[-1] == "repeated_windows"
+    alike = {"a": (1000.0, 3), "b": (1200.0, 3), "c": (1000.0, 30), "d": (90000.0, 30), "e": (0.0, 0)}
+    assert quality.ranked(alike) == ["e", "c", "a", "b", "d"]
+    # No rule changes a verdict by its place.
+    for names in (list(quality.RULES), list(quality.RULES)[::-1]):
+        sql = quality.cascade(names, "text", "words", "lines")
+        given = docs.selectExpr("doc_id", "text", f"{quality.word_list('text')} as words", f"{quality.line_list('text')} as lines")
+        assert {r.doc_id for r in given.where(sql).collect()} == kept
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
