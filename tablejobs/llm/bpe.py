@@ -230,13 +230,31 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return given.mapInArrow(batches, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, text string")
 
 
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded_sha256) of every row: the ids of the whole text and the digest of the text they decode to. Null and
+    empty texts have an empty array and the digest of the empty text; repeated or null ids are kept as they come."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = encoder(path)
+        for batch in found:
+            ids = [tool.encode(text.as_py()) for text in batch["text"]]
+            read = pa.array([_sha(tool.decode(x)) for x in ids], pa.string())
+            written = pa.array([np.array(x, np.int32) for x in ids], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], written, read], ["doc_id", "ids", "decoded_sha256"])
+
+    given = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    kind = given.schema["doc_id"].dataType.simpleString()
+    return given.mapInArrow(batches, f"doc_id {kind}, ids array<int>, decoded_sha256 string")
+
+
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: encodes and decodes in one pass, so that no ids travel
     between the two steps. Null and empty texts have no tokens; repeated or null ids are kept as they come."""
 
-    def sha(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
-
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for batch in found:
@@ -244,8 +262,8 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             for text in batch["text"]:
                 ids = tool.encode(text.as_py())
                 counts.append(len(ids))
-                written.append(sha(" ".join(map(str, ids))))
-                read.append(sha(tool.decode(ids)))
+                written.append(_sha(" ".join(map(str, ids))))
+                read.append(_sha(tool.decode(ids)))
             columns = [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(written, pa.string()), pa.array(read, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
