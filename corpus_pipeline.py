@@ -29,8 +29,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids) of each document."""
-    return bpe.encode(docs, bpe.default_path())
+    """(doc_id, ids, decoded_sha256) of each document: its tokens, and the digest of the text they decode to."""
+    return bpe.round_trip(docs, bpe.default_path())
 
 
 STAGES = [
@@ -41,7 +41,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-# The near-duplicate, personal-data and token stages can't be written in SQL; they are tested against brute force.
+# The near-duplicate, personal-data and token stages can't be written in SQL; run() is tested against a brute-force chain.
 ORACLE_SQL = None
 
 
