@@ -6,15 +6,21 @@ the payload digests. Its headers are those of the response, with what a not-modi
 
 The as-of join is one pass over sorted records, without pairs. A URL with very many captures is cut into spans of time: the
 last response of each span is found by partial aggregation and handed on to the later spans, and only the records of a URL
-within a span are sorted together. Spans are as long as ``SPAN_ROWS`` records of all URLs take on average.
+within a span are sorted together. Spans end at quantiles of the time of all records, so that records far from all others
+make no span longer.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablejobs.llm.arrays import let
+
 SPAN_ROWS = 50_000
+SIDE = 64  # quantiles are looked up in a list of lists, each of this length at most
 # What a not-modified answer may send anew (RFC 9110, 15.4.5), in lower case. All other headers describe the stored body.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 # Query parameters that only track where a visitor came from.
@@ -39,6 +45,32 @@ def _tag(tag: str) -> str:
     return f"regexp_replace({tag}, '^W/', '')"
 
 
+def _span(rows: DataFrame) -> Column:
+    """Number of the stretch of time that a record lies in, growing with time; a stretch has about ``SPAN_ROWS`` records, however
+    unevenly they lie. Its ends are quantiles, at most ``SIDE`` squared of them; between those it is cut evenly. Records without
+    time lie in the first one."""
+    low, high, n = rows.agg(F.min("time"), F.max("time"), F.count("*")).first()
+    side = min(SIDE, math.ceil(math.sqrt(n / SPAN_ROWS)))
+    if low is None or side <= 1:
+        return F.lit(0)
+    shares = [i / side**2 for i in range(1, side**2)]
+    ends = [low, *rows.agg(F.percentile_approx("time", shares, 10 * SIDE**2)).first()[0]]
+    lists = [ends[i : i + side] for i in range(0, len(ends), side)]
+    pieces = math.ceil(n / (side**2 * SPAN_ROWS))
+    time, first = f"coalesce(time, {low}L)", _numbers(ends[::side])
+    found = let(f"size(filter({first}, c -> c <= {time})) - 1", "i", f"i * {side} + size(filter(array({', '.join(map(_numbers, lists))})[i], c -> c <= {time})) - 1")
+    if pieces > 1:
+        ends = [*ends, high + 1]
+        reach = f"greatest(1, (ends[b + 1] - double(ends[b])) / {pieces})"
+        piece = f"least({pieces - 1}, bigint(floor((double({time}) - ends[b]) / {reach})))"
+        found = let(found, "b", let(_numbers(ends, "D"), "ends", f"b * {pieces} + {piece}"))
+    return F.expr(found).cast("long")
+
+
+def _numbers(values: list[int], kind: str = "L") -> str:
+    return f"array({', '.join(f'{v}{kind}' for v in values)})"
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """(record_id, url_key, type, source_id, status, headers) of every record.
 
@@ -49,9 +81,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     Records without URL or with another type are ``missing``. Repeated rows are each resolved; no rows give no rows.
     """
     rows = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), F.col("time"), "type", "digest", "headers")
-    low, high, n = rows.agg(F.min("time"), F.max("time"), F.count("*")).first()
-    length = max(1, ((high or 0) - (low or 0) + 1) * SPAN_ROWS // max(n, 1))
-    rows = rows.withColumn("span", F.expr(f"coalesce(time, {low or 0}) div {length}"))
+    rows = rows.withColumn("span", _span(rows))
     rows = rows.withColumn("time", F.coalesce("time", F.lit(-(2**63))))
     answer = F.struct("record_id", "digest", "headers")
     full = F.when(F.col("type") == "response", answer)

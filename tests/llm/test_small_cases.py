@@ -134,6 +134,27 @@ def test_revisits(spark, monkeypatch):
     assert warc.resolve_revisits(spark.createDataFrame([], kind)).count() == 0
 
 
+def test_spans_of_time_hold_few_records_however_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SPAN_ROWS", 20)
+    times = [0, None, -(2**63), 2**63 - 1, *range(10**9, 10**9 + 2000), *[10**9 + 5] * 30]
+    for side in (64, 3):  # all ends are quantiles; or evenly cut between them
+        monkeypatch.setattr(warc, "SIDE", side)
+        rows = spark.createDataFrame([(t,) for t in times], "time long").repartition(3)
+        found = rows.select("time", warc._span(rows).alias("span")).collect()
+        ordered = [r.span for r in sorted(found, key=lambda r: -(2**63) if r.time is None else r.time)]
+        assert ordered == sorted(ordered) and ordered[0] >= 0
+        sizes = [ordered.count(s) for s in set(ordered)]
+        assert len(sizes) > 80 and max(sizes) <= (80 if side == 64 else 300)
+    records = [(i, f"http://a.org/{i % 2}", t, "response" if i % 3 else "revisit", "d", None) for i, t in enumerate(times)]
+    kind = "record_id long, url string, time long, type string, digest string, headers map<string,string>"
+    found = {r.record_id: r.source_id for r in warc.resolve_revisits(spark.createDataFrame(records, kind)).collect()}
+    last = {}
+    for i, url, t, what, _, _ in sorted(records, key=lambda r: (-(2**63) if r[2] is None else r[2], r[0])):
+        assert found[i] == (i if what == "response" else last.get(url)), i
+        if what == "response":
+            last[url] = i
+
+
 def test_quality_measures_and_verdicts(spark):
     texts = [None, "", "a b c a b c", "one\none\none\n\n two", "w " * 60, " ".join(f"v{i}" for i in range(60)), "x#y " * 30 + " ".join(f"v{i}" for i in range(60))]
     texts += [" ".join(f"q{i % 40}" for i in range(100)), " ".join(f"UP{i}QRSTUV" for i in range(60))]
