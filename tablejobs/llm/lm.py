@@ -26,6 +26,9 @@ BACKOFF = 0.4
 BLOCK_BYTES = 4_000_000  # of text in a block, on average; what a task holds at a time
 PART_GRAMS = 1_000_000  # n-grams of the corpus, repeats included, for each range of hashes
 FLUSH_GRAMS = 200_000  # passed on together
+TASK_BYTES = 32_000_000  # of text in a task that counts or scores
+TASK_GRAMS = 16_000_000  # n-grams, repeats included, in a task that adds up counts
+MOST_TASKS = 20_000  # beyond so many, shuffles cost more than larger tasks; the session's own number may be higher
 SPARE_BITS = 30  # an n-gram shares its hash with another of the corpus with a chance below 2 ** -SPARE_BITS
 
 
@@ -199,14 +202,17 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     corpus, blocks = size[0] or 0, (size[1] or 0) // block_bytes + 1
     bits = min(64, (corpus * order).bit_length() + SPARE_BITS)
     parts = corpus * order // PART_GRAMS + 1
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text_tasks = max(least, min(MOST_TASKS, (size[1] or 0) // TASK_BYTES))
+    gram_tasks = max(least, min(MOST_TASKS, corpus * order // TASK_GRAMS))
     # The texts are shuffled once: both uses below read the same exchange.
     dealt = given.select("text").mapInArrow(_distinct(blocks), "block long, key binary, text string, copies long")
-    dealt = dealt.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block")
+    dealt = dealt.repartition(text_tasks, "block")
     texts = dealt.groupBy("block", "key").agg(F.first("text", True).alias("text"), F.sum("copies").alias("copies"))
     grams = texts.sortWithinPartitions("block").mapInArrow(
         _block_counts(order, bits, parts), "part long, block long, grams binary, counts binary"
     )
-    answers = grams.groupBy("part").applyInArrow(_others, "part long, block long, others binary")
+    answers = grams.repartition(gram_tasks, "part").groupBy("part").applyInArrow(_others, "part long, block long, others binary")
     sums = texts.groupBy("block").cogroup(answers.groupBy("block"))
     sums = sums.applyInArrow(_block_scores(order, bits, corpus), "key binary, n_words long, log_score double")
     kind = given.schema["doc_id"].dataType.simpleString()
