@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tablejobs.llm import text as T
+
 END = "\n"  # stands for the word end in the automaton; no byte is written so
 MEMO_WORDS = MEMO_PARTS = 150_000  # words and pieces whose ids a worker keeps; a full memory is emptied and filled anew
 MEMO_LENGTH = 64
@@ -240,11 +242,14 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
-        for batch in found:
-            ids = [tool.encode(text.as_py()) for text in batch["text"]]
-            read = pa.array([_sha(tool.decode(x)) for x in ids], pa.string())
-            written = pa.array([np.array(x, np.int32) for x in ids], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], written, read], ["doc_id", "ids", "decoded_sha256"])
+        for batch in T.small_batches(found, "text"):
+            written, read = [], []
+            for text in batch["text"]:
+                ids = tool.encode(text.as_py())
+                written.append(np.array(ids, np.int32))
+                read.append(_sha(tool.decode(ids)))
+            columns = [batch["doc_id"], pa.array(written, pa.list_(pa.int32())), pa.array(read, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded_sha256"])
 
     given = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()

@@ -62,7 +62,7 @@ def words_key(data: bytes) -> bytes | None:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in T.small_batches(batches, "text"):
         keys, sizes, signatures = [], [], []
         for value in batch["text"]:
             data = T.lowered(value.as_py())
@@ -75,7 +75,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in T.small_batches(batches, "text"):
         classes, found = [], []
         for value, key, own in zip(batch["text"], batch["words_key"], batch["class"], strict=True):
             data = T.lowered(value.as_py())

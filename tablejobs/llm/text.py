@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 _random = np.random.RandomState(20240229)
@@ -82,3 +86,16 @@ def _gathered(words: np.ndarray, offsets, count: int) -> np.ndarray:
     for i in offsets:
         total += words[i : i + count] * _PLACE[1 + i % 63]
     return mix(total + U64(len(offsets)))
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts take about ``most`` bytes, or of one row. Spark counts rows, and thousands of long
+    texts with all that is made of them are too much at a time. At the end, memory goes back to the system: the next stage's
+    worker may stand beside this one."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        lot = np.cumsum(lengths) // most
+        edges = np.flatnonzero(np.r_[True, lot[1:] != lot[:-1], True]) if len(lot) else np.zeros(1, np.int64)
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield batch.slice(first, last - first)
+    pa.default_memory_pool().release_unused()
