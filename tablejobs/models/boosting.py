@@ -1,9 +1,10 @@
 """Boosted trees for a 0/1 label with L1 and L2 penalties and a least child weight, from gradient and hessian sums by bin.
 
 MLlib's boosted trees know neither penalty, and their least child is a number of rows. Here every level of a round's trees is one
-aggregate: tasks add up, for each open node, feature and bin, the first and second derivative of the log loss; windows over the
-bins of a node, which are few, turn the sums into the gain of every cut; and one row for each node, its best cut, comes back.
-What the driver holds is the model: cut points, category lists and trees.
+aggregate: tasks add up, for each open node, feature and bin that they have rows of, the first and second derivative of the log
+loss; from the sums comes the gain of every cut, for numbers by windows over their bins, which are few; and one row for each node,
+its best cut, comes back. What the driver holds is the model: cut points and trees. Categories are a table, joined with the rows
+once, so a column may have any number of them.
 
 With G and H the sums of a node, T(G) = sign(G) max(|G| - l1, 0): its value is -T(G) / (H + l2), its score T(G)^2 / (H + l2), and
 the gain of a cut is the score of both children less that of the parent. A child must have H of at least ``min_child_weight``.
@@ -20,13 +21,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablejobs.operators import unpivot
+from tablejobs.operators import prefix_sums, unpivot
 from tablejobs.sources import materialize
 
 HASH_BINS = 4096  # for the values of hashed columns
+BROADCAST_BYTES = 16_000_000  # of the categories of a column, counted; larger tables are joined by shuffle
+ROW_BYTES = 64  # of a category in a hash table, besides its text
+SUMS = 1 << 20  # that a task gathers before it hands them on
 FLUSH = 10  # rounds after which the margins are written, so that tasks walk few trees
 SPLITS_SCHEMA = (
     "round int, tree int, node int, feature string, cut double, category string, missing_left boolean, gain double, cover double, "
@@ -56,7 +60,8 @@ class BoostedTrees:
     numeric: list[str]
     categorical: list[str]
     cuts: dict[str, list[float]]
-    categories: dict[str, list[str]]  # hashed columns have none
+    categories: DataFrame | None  # (feature, category, bin), bins in order of category; hashed columns have none
+    listed: dict[str, bool]  # whether the categories of each column that is not hashed can be broadcast
     trees: list[list[Tree]] = field(default_factory=list)  # by round
     losses: list[float] = field(default_factory=list)  # before each round, of the rows that decide when to stop
 
@@ -64,14 +69,8 @@ class BoostedTrees:
     def features(self) -> list[str]:
         return [*self.numeric, *self.categorical]
 
-    @property
-    def sizes(self) -> list[int]:
-        """Number of bins of each feature."""
-        listed = [len(self.categories[c]) if c in self.categories else HASH_BINS for c in self.categorical]
-        return [len(self.cuts[c]) + 2 for c in self.numeric] + [n + 1 for n in listed]
-
-    def bins(self) -> Column:
-        """Bin of each feature in a row; 0 for what is missing."""
+    def binned(self, df: DataFrame) -> DataFrame:
+        """Input columns and ``__bins``, the bin of each feature in a row; 0 for what is missing."""
 
         def number(name: str) -> Column:
             x = F.col(name).cast("double")
@@ -79,15 +78,15 @@ class BoostedTrees:
             above = F.size(F.filter(cuts, lambda c: c < x)) + 1
             return F.when(x.isNull() | F.isnan(x), 0).otherwise(above)
 
-        def category(name: str) -> Column:
-            text = F.col(name).cast("string")
-            if name not in self.categories:
-                return F.coalesce(F.pmod(F.xxhash64(text), F.lit(HASH_BINS)) + 1, F.lit(0))
-            known = F.create_map(*[x for i, c in enumerate(self.categories[name]) for x in (F.lit(c), F.lit(i + 1))])
-            return F.coalesce(known[text], F.lit(0)) if self.categories[name] else F.lit(0)
-
-        found = [number(c).cast("int") for c in self.numeric] + [F.when(F.col(c).isNull(), 0).otherwise(category(c)).cast("int") for c in self.categorical]
-        return F.array(*found).cast("array<int>")
+        joined, found = df, [number(c) for c in self.numeric]
+        for i, name in enumerate(self.categorical):
+            if name not in self.listed:
+                found.append(F.coalesce(F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(HASH_BINS)) + 1, F.lit(0)))
+                continue
+            table = self.categories.filter(F.col("feature") == name).select(F.col("category").alias(f"__c{i}"), F.col("bin").alias(f"__b{i}"))
+            joined = joined.join(F.broadcast(table) if self.listed[name] else table, F.col(name).cast("string") == F.col(f"__c{i}"), "left")
+            found.append(F.coalesce(F.col(f"__b{i}"), F.lit(0)))
+        return joined.select(*df.columns, F.array(*[c.cast("int") for c in found]).cast("array<int>").alias("__bins"))
 
     def transform(self, df: DataFrame, name: str = "score") -> DataFrame:
         """Input columns and the share of class 1."""
@@ -98,7 +97,7 @@ class BoostedTrees:
             rows = np.array(bins.tolist(), np.int64).reshape(len(bins), -1)
             return pd.Series(1 / (1 + np.exp(-_margin(trees, rows, numbers))))
 
-        return df.withColumn(name, score(self.bins())).select(*df.columns, name)
+        return self.binned(df).withColumn(name, score("__bins")).select(*df.columns, name)
 
     def splits_table(self, spark: SparkSession) -> DataFrame:
         """A row for each node of each tree: where it is cut (left: not above ``cut``, or the ``category``), with the gain, or the
@@ -112,11 +111,17 @@ class BoostedTrees:
                         feature = self.features[n.feature]
                         if feature in self.cuts:
                             cut = float([*self.cuts[feature], np.inf][n.bin - 1])
-                        else:
-                            category = self.categories[feature][n.bin - 1] if feature in self.categories else f"#{n.bin - 1}"
+                        elif feature not in self.listed:
+                            category = f"#{n.bin - 1}"
                     split = feature is not None
-                    rows.append((r, t, i, feature, cut, category, n.missing_left if split else None, n.gain if split else None, n.hessian, n.rows, None if split else n.value))
-        return spark.createDataFrame(rows, SPLITS_SCHEMA)
+                    of = n.bin if feature in self.listed else None
+                    rows.append((r, t, i, feature, cut, category, n.missing_left if split else None, n.gain if split else None, n.hessian, n.rows, None if split else n.value, of))
+        nodes = spark.createDataFrame(rows, f"{SPLITS_SCHEMA}, bin int")
+        if self.categories is None:
+            return nodes.drop("bin")
+        named = self.categories.select("feature", "bin", F.col("category").alias("name")).join(F.broadcast(nodes.select("feature", "bin").distinct()), ["feature", "bin"])
+        found = nodes.join(F.broadcast(named), ["feature", "bin"], "left")  # at most a row for each node
+        return found.withColumn("category", F.coalesce("category", "name")).select(*nodes.drop("bin").columns)
 
     def importance_table(self, spark: SparkSession) -> DataFrame:
         """For each input: number of splits, and mean gain and mean cover of its splits; 0 for an input without any."""
@@ -128,19 +133,20 @@ class BoostedTrees:
         return names.join(F.broadcast(found), "feature", "left").fillna(0)  # a row for each input
 
 
-def _left(node: Node, bins: np.ndarray, numbers: int) -> np.ndarray:
-    own = bins[:, node.feature]
-    inside = own <= node.bin if node.feature < numbers else own == node.bin
-    return np.where(own == 0, node.missing_left, inside)
-
-
 def _places(tree: Tree, bins: np.ndarray, numbers: int) -> np.ndarray:
     """The leaf that each row reaches."""
-    at = np.ones(len(bins), np.int64)
-    for i, node in sorted(tree.items()):
+    size = max(tree, default=1) + 1
+    feature, cut, missing_left = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size, bool)
+    for i, node in tree.items():
         if node.feature is not None:
-            here = np.flatnonzero(at == i)
-            at[here] = 2 * i + 1 - _left(node, bins[here], numbers)
+            feature[i], cut[i], missing_left[i] = node.feature, node.bin, node.missing_left
+    at = np.ones(len(bins), np.int64)
+    rows = np.arange(len(bins))
+    while len(rows := rows[feature[at[rows]] >= 0]):
+        node = at[rows]
+        own = bins[rows, feature[node]]
+        inside = np.where(feature[node] < numbers, own <= cut[node], own == cut[node])
+        at[rows] = 2 * node + 1 - np.where(own == 0, missing_left[node], inside)
     return at
 
 
@@ -169,20 +175,35 @@ class _Round:
     growing: list[Tree]
     open: list[list[int]]
     numbers: int
-    sizes: list[int]  # bins of each feature
     subsample: float
     salt: int
 
 
 LOSS = -1  # in place of a tree: sums of the loss over the rows that decide when to stop
+ALL = -1  # in place of a feature: sums over the rows of a node
+SUMS_SCHEMA = "tree int, node int, feature int, bin int, g double, h double, n long"
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (tree, node, feature, bin), as columns, and the sums of their (g, h, n)."""
+    keys, values = (np.concatenate([p[i] for p in parts], axis=1) for i in (0, 1))
+    order = np.lexsort(keys[::-1])
+    keys, values = keys[:, order], values[:, order]
+    first = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))[: keys.shape[1]])
+    return keys[:, first], np.add.reduceat(values, first, axis=1) if len(first) else values
 
 
 def _sums(state) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(tree, node, feature, bin, g, h, n) of the task's rows."""
+    """(tree, node, feature, bin, g, h, n) of the task's rows, only for bins with rows; a bin may come several times."""
+
+    def record(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        columns = [*[pa.array(k.astype(np.int32)) for k in keys], pa.array(values[0]), pa.array(values[1]), pa.array(values[2].astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["tree", "node", "feature", "bin", "g", "h", "n"])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _Round = state.value
-        total: dict[tuple[int, int, int], np.ndarray] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = merged = 0
         for batch in batches:
             y, w, stored = (batch[c].to_numpy() for c in ("y", "w", "margin"))
             hashes, stops = batch["hash"].to_numpy(), batch["stops"].to_numpy(zero_copy_only=False)
@@ -192,22 +213,27 @@ def _sums(state) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
             g, h = w * (p - y), w * p * (1 - p)
             loss = w * (np.maximum(margin, 0) - margin * y + np.log1p(np.exp(-np.abs(margin))))
             for of, chosen in ((0, ~stops), (1, stops)):
-                part = np.array([[loss[chosen].sum()], [w[chosen].sum()], [chosen.sum()]])
-                total[LOSS, of, 0] = total.get((LOSS, of, 0), 0) + part
+                held.append((np.array([[LOSS], [of], [0], [0]]), np.array([[loss[chosen].sum()], [w[chosen].sum()], [chosen.sum()]])))
             for t, tree in enumerate(now.growing):
                 rows = np.flatnonzero(~stops & (_mixed(hashes, now.salt + t) < now.subsample))
                 places = _places(tree, bins[rows], now.numbers)
-                for node in now.open[t]:
-                    here = rows[places == node]
-                    for f in range(bins.shape[1]):
-                        own = bins[here, f]
-                        part = [np.bincount(own, weights=v, minlength=now.sizes[f]) for v in (g[here], h[here], np.ones(len(here)))]
-                        total[t, node, f] = total.get((t, node, f), 0.0) + np.array(part, np.float64)
-        for (t, node, f), part in total.items():
-            used = np.flatnonzero(part[2])
-            keys = [pa.array(np.full(len(used), k, np.int32)) for k in (t, node, f)]
-            values = [pa.array(part[0][used]), pa.array(part[1][used]), pa.array(part[2][used].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(used.astype(np.int32)), *values], ["tree", "node", "feature", "bin", "g", "h", "n"])
+                inside = np.isin(places, now.open[t])
+                rows, places = rows[inside], places[inside]
+                stats = np.array([g[rows], h[rows], np.ones(len(rows))])
+                for f in range(ALL, bins.shape[1]):
+                    own = np.zeros(len(rows), np.int64) if f == ALL else bins[rows, f]
+                    held.append(_merged([(np.array([np.full(len(rows), t), places, np.full(len(rows), f), own]), stats)]))
+                    size += held[-1][0].shape[1]
+            if size > merged + SUMS:
+                held = [_merged(held)]
+                size = merged = held[0][0].shape[1]
+                if merged > SUMS:
+                    yield record(*held[0])
+                    held, size, merged = [], 0, 0
+        if held:
+            keys, values = _merged(held)
+            for at in range(0, keys.shape[1], 1 << 16):
+                yield record(keys[:, at : at + (1 << 16)], values[:, at : at + (1 << 16)])
 
     return sums
 
@@ -217,36 +243,61 @@ def _score(g: Column, h: Column, l1: float, l2: float) -> Column:
     return F.coalesce(F.try_divide(shrunk * shrunk, h + l2), F.lit(0.0))
 
 
-def best_cuts(sums: DataFrame, numbers: int, l1: float, l2: float, min_child_weight: float, columns: int | None = None, seed: int = 0) -> DataFrame:
-    """(tree, node, g, h, n, best) of every node: its sums, and its best cut or null.
+def _local(sums: DataFrame, rows: Sequence[Row], keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Rows of ``sums`` that the driver has, with other names for their (g, h, n)."""
+    columns = [pa.array([r[k] for r in rows], pa.int32()) for k in keys]
+    columns += [pa.array([r[v] for r in rows], pa.int64() if v == "n" else pa.float64()) for v in "ghn"]
+    return sums.sparkSession.createDataFrame(pa.table(columns, names=[*keys, *names]))
+
+
+def best_cuts(
+    sums: DataFrame, totals: Sequence[Row], missing: Sequence[Row], numbers: int, l1: float, l2: float, min_child_weight: float,
+    columns: int | None = None, seed: int = 0,
+) -> DataFrame:
+    """(tree, node, best) of every node that can be cut: its best cut.
 
-    ``sums`` has (tree, node, feature, bin, g, h, n). ``columns`` is the number of features tried in a node, chosen by hash.
+    ``sums`` has (tree, node, feature, bin, g, h, n); its rows of whole nodes are the ``totals``, those of bin 0 are ``missing``:
+    there is one of each for a node and for a feature of a node. ``columns`` is the number of features tried in a node, chosen by hash.
     Equal gains (to nine digits) go to the first feature, the first bin, missing to the right.
     """
-    own = Window.partitionBy("tree", "node", "feature")
-    up = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = sums
-    for v in ("g", "h", "n"):
-        known = F.when(F.col("bin") > 0, F.col(v)).otherwise(0)
-        inside = F.when(F.col("feature") < numbers, F.sum(known).over(up)).otherwise(known)
-        missing = F.sum(F.when(F.col("bin") == 0, F.col(v)).otherwise(0)).over(own)
-        rows = rows.withColumns({f"{v}_all": F.sum(v).over(own), f"{v}_in": inside, f"{v}_no": missing})
-    tried = rows.withColumn("missing_left", F.explode(F.array(F.lit(False), F.lit(True))))
+    node, slot = ["tree", "node"], ["tree", "node", "feature"]
+    whole = _local(sums, totals, node, [f"{v}_all" for v in "ghn"])
+    without = _local(sums, missing, slot, [f"{v}_no" for v in "ghn"])
+    up = Window.partitionBy(*slot).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = sums.filter(F.col("bin") > 0)
+    rows = known.filter(F.col("feature") >= numbers).select(*slot, "bin", *[F.col(v).alias(f"{v}_in") for v in "ghn"])
+    if numbers:  # a few bins for each feature of a node
+        summed = known.filter(F.col("feature") < numbers).select(*slot, "bin", *[F.sum(v).over(up).alias(f"{v}_in") for v in "ghn"])
+        rows = rows.unionByName(summed)
+    rows = rows.join(F.broadcast(whole), node).join(F.broadcast(without), slot, "left").fillna(0, [f"{v}_no" for v in "ghn"])
+    if columns is not None:
+        order = F.xxhash64(F.lit(seed), *slot)
+        rank = F.dense_rank().over(Window.partitionBy(*node).orderBy(order, "feature"))
+        tried = sums.filter(F.col("feature") >= 0).select(*slot).distinct().withColumn("rank", rank).filter(F.col("rank") <= columns)
+        rows = rows.join(F.broadcast(tried.drop("rank")), slot)
+    sides = F.when(F.col("n_no") > 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = rows.withColumn("missing_left", F.explode(sides))
     left = {v: F.col(f"{v}_in") + F.when(F.col("missing_left"), F.col(f"{v}_no")).otherwise(0) for v in ("g", "h", "n")}
     right = {v: F.col(f"{v}_all") - left[v] for v in left}
     gain = _score(left["g"], left["h"], l1, l2) + _score(right["g"], right["h"], l1, l2) - _score(F.col("g_all"), F.col("h_all"), l1, l2)
-    fits = (F.col("bin") > 0) & (left["n"] > 0) & (right["n"] > 0) & (gain > 1e-9)
+    fits = (left["n"] > 0) & (right["n"] > 0) & (gain > 1e-9)
     fits &= (left["h"] >= min_child_weight) & (right["h"] >= min_child_weight)
-    if columns is not None:
-        order = F.xxhash64(F.lit(seed), "tree", "node", "feature")
-        fits &= F.dense_rank().over(Window.partitionBy("tree", "node").orderBy(order, "feature")) <= columns
     cut = F.struct(
         F.round(gain, 9).alias("first"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), (~F.col("missing_left")).alias("r"),
         gain.alias("gain"), *[left[v].alias(v) for v in left],
     )
-    ranked = tried.withColumn("cut", F.when(fits, cut))
-    totals = [F.max(F.when(F.col("feature") == 0, F.col(f"{v}_all"))).alias(v) for v in ("g", "h", "n")]
-    return ranked.groupBy("tree", "node").agg(*totals, F.max("cut").alias("best"))
+    return rows.filter(fits).groupBy(*node).agg(F.max(cut).alias("best"))
+
+
+def category_bins(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """(feature, category, bin) of the distinct values, numbered from 1 in order; number and bytes of each column's."""
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    long = unpivot(texts, [], list(columns), "feature", "category").filter("category is not null").distinct()
+    table = prefix_sums(long.withColumn("one", F.lit(1)), ["category"], {"bin": "one"}, by=["feature"])
+    table = materialize(table.select("feature", "category", F.col("bin").cast("int").alias("bin")), "categories")
+    sizes = table.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("category") + ROW_BYTES).alias("b")).collect()
+    found = {r["feature"]: (r["n"], r["b"]) for r in sizes}  # a row for each column
+    return table, {c: found.get(c, (0, 0)) for c in columns}
 
 
 def _values(df: DataFrame, columns: Sequence[str], most: int) -> dict[str, list]:
@@ -305,22 +356,21 @@ def fit_boosted(
         raise ValueError(f"not among the categorical columns: {sorted(unknown)}")
     known = df.filter(F.col(label).isNotNull())
     listed = [c for c in categorical if c not in hashed]
-    texts = known.select(*[F.col(c).cast("string").alias(c) for c in listed])
-    lists = {c: sorted(r[0] for r in texts.select(c).distinct().collect() if r[0] is not None) for c in listed}
-    model = BoostedTrees(list(numeric), list(categorical), _cuts(known, numeric, max_bins), lists)
-    rows = known.select(
+    table, sizes = category_bins(known, listed) if listed else (None, {})
+    small = {c: b <= BROADCAST_BYTES for c, (_, b) in sizes.items()}
+    model = BoostedTrees(list(numeric), list(categorical), _cuts(known, numeric, max_bins), table, small)
+    rows = model.binned(known).select(
         F.col(label).cast("double").alias("y"),
         (F.lit(1.0) if weight is None else weight.cast("double")).alias("w"),
         F.xxhash64(F.col(key), F.lit(seed)).alias("hash"),
         (F.lit(False) if stops is None else F.coalesce(F.col(stops).cast("boolean"), F.lit(False))).alias("stops"),
-        model.bins().alias("bins"),
+        F.col("__bins").alias("bins"),
         F.lit(0.0).alias("margin"),
     )
     rows = materialize(rows, "boosting_rows")
     spark, numbers = df.sparkSession, len(numeric)
     features = len(model.features)
     columns = None if columns_per_node >= 1 else max(1, round(columns_per_node * features))
-    schema = "tree int, node int, feature int, bin int, g double, h double, n long"
     for i in range(max_iter):
         done = [t for r in model.trees[i - i % FLUSH :] for t in r]
         if i and i % FLUSH == 0:
@@ -329,25 +379,27 @@ def fit_boosted(
         trees: list[Tree] = [{} for _ in range(trees_per_round)]
         opened = [[1] for _ in trees]
         for depth in range(max_depth):
-            state = spark.sparkContext.broadcast(_Round(done, trees, opened, numbers, model.sizes, subsample, seed + 7919 * i))
-            parts = rows.mapInArrow(_sums(state), schema)
-            sums = parts.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(v).alias(v) for v in "ghn"])
+            state = spark.sparkContext.broadcast(_Round(done, trees, opened, numbers, subsample, seed + 7919 * i))
+            parts = rows.mapInArrow(_sums(state), SUMS_SCHEMA)
+            sums = parts.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(v).alias(v) for v in "ghn"]).persist()  # read several times
+            few = sums.filter((F.col("feature") == ALL) | (F.col("bin") == 0)).collect()  # for open nodes and their features
             if depth == 0:
-                sums = sums.persist()  # read twice; its size is that of the bins
-                losses = {r["node"]: r["g"] / r["h"] for r in sums.filter(F.col("tree") == LOSS).collect() if r["h"]}
+                losses = {r["node"]: r["g"] / r["h"] for r in few if r["tree"] == LOSS and r["h"]}
                 model.losses.append(losses.get(1 if stops is not None else 0, 0.0))
                 if i and min_rel_progress and model.losses[-2] - model.losses[-1] < min_rel_progress * abs(model.losses[-2]):
                     sums.unpersist()
                     return model
-            cuts = best_cuts(sums.filter(F.col("tree") >= 0), numbers, l1, l2, min_child_weight, columns, seed + i)
-            found = cuts.collect()  # a row for each open node
+            totals = [r for r in few if r["feature"] == ALL]
+            missing = [r for r in few if r["tree"] != LOSS and r["feature"] != ALL]
+            cuts = best_cuts(sums, totals, missing, numbers, l1, l2, min_child_weight, columns, seed + i)
+            found = {(r["tree"], r["node"]): r["best"] for r in cuts.collect()}  # a row for each open node
             sums.unpersist()
             opened = [[] for _ in trees]
-            for r in found:
+            for r in totals:
                 tree, node = trees[r["tree"]], r["node"]
                 if node == 1:
                     tree[1] = _node(r["g"], r["h"], r["n"], l1, l2, learn_rate / trees_per_round)
-                best = r["best"]
+                best = found.get((r["tree"], node))
                 if best is None:
                     continue
                 parent = tree[node]

@@ -143,3 +143,16 @@ def test_odd_tables(spark):
     unseen = df.limit(3).withColumn("c", F.lit("never")).withColumn("a", F.lit(float("nan")))
     model = fit_boosted(df.withColumn("y", F.when(F.col("id") > 5, F.col("y"))), "y", "id", ["a"], ["c"], max_iter=2)
     assert model.trees[0][0][1].rows == 44 and model.transform(unseen).filter("score is null").count() == 0
+
+
+def test_columns_with_many_categories(spark):
+    n = 30_000  # a list of literals for each category, and a count for each in every node, took minutes
+    df = spark.range(2 * n).selectExpr("id", "concat('k', id % 30000) as many", "cast(id % 7 as string) as few", "cast(id % 30000 < 3 or id % 7 = 2 as int) as y")
+    model = fit_boosted(df, "y", "id", categorical=["many", "few"], max_iter=2, max_depth=2, learn_rate=1.0)
+    assert model.categories.count() == n + 7
+    first = model.trees[0][0]
+    assert (model.features[first[1].feature], first[1].bin, first[2].rows + first[3].rows) == ("few", 3, 2 * n)
+    names = {r["category"] for r in model.splits_table(spark).filter("feature = 'many'").collect()}
+    assert names and names <= {"k0", "k1", "k2"}
+    scored = {r["id"]: r["score"] for r in model.transform(df.filter("id < 12")).collect()}
+    assert scored[2] > 0.8 and scored[9] > 0.8 and scored[11] < 0.5
