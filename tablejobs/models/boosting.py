@@ -16,7 +16,7 @@ null categories and categories not seen in the fit go to the side that the fit f
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -177,6 +177,40 @@ class _Round:
     numbers: int
     subsample: float
     salt: int
+    loss: str = "log"
+    bootstrap: bool = False  # a row comes as often as a Poisson number says
+    slots: _Slots | None = None  # features of one category each, of which a node tries some
+
+
+@dataclass
+class _Slots:
+    starts: np.ndarray  # first slot of each column
+    number: int
+    tried: int
+
+    def chosen(self, seed: int, tree: int, nodes: Sequence[int]) -> np.ndarray:
+        """Sorted (place of the node in ``nodes``) * ``number`` + slot."""
+        draws = [np.sort(np.random.default_rng([seed, tree, n]).choice(self.number, self.tried, replace=False, shuffle=False)) for n in nodes]
+        return np.concatenate([i * self.number + d for i, d in enumerate(draws)])
+
+
+def _derivatives(loss: str, y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradient, hessian and loss of rows. ``share`` and ``target`` (of +1 or -1) make leaves of means; ``residual`` is the slope of
+    2 log(1 + exp(-2 y m)), the loss of MLlib's boosting, and makes leaves of its means."""
+    p = 1 / (1 + np.exp(-margin))
+    if loss == "log":
+        return p - y, p * (1 - p), np.maximum(margin, 0) - margin * y + np.log1p(np.exp(-np.abs(margin)))
+    sign, one = 2 * y - 1, np.ones(len(y))
+    if loss == "share":
+        return -y, one, one
+    found = 2 * np.logaddexp(0, -2 * sign * margin)
+    return -sign if loss == "target" else -4 * sign / (1 + np.exp(2 * sign * margin)), one, found
+
+
+def _poisson(u: np.ndarray, mean: float) -> np.ndarray:
+    """Poisson numbers from evenly spread ones."""
+    terms = np.cumprod(np.append(np.exp(-mean), mean / np.arange(1, 40)))
+    return np.searchsorted(np.cumsum(terms), u, side="right").astype(np.float64)
 
 
 LOSS = -1  # in place of a tree: sums of the loss over the rows that decide when to stop
@@ -203,27 +237,40 @@ def _sums(state) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _Round = state.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        chosen_slots: dict[int, np.ndarray] = {}  # by tree
         size = merged = 0
         for batch in batches:
             y, w, stored = (batch[c].to_numpy() for c in ("y", "w", "margin"))
             hashes, stops = batch["hash"].to_numpy(), batch["stops"].to_numpy(zero_copy_only=False)
             bins = batch["bins"].flatten().to_numpy().astype(np.int64).reshape(len(y), -1)
             margin = stored + _margin(now.done, bins, now.numbers)
-            p = 1 / (1 + np.exp(-margin))
-            g, h = w * (p - y), w * p * (1 - p)
-            loss = w * (np.maximum(margin, 0) - margin * y + np.log1p(np.exp(-np.abs(margin))))
+            g, h, loss = (w * v for v in _derivatives(now.loss, y, margin))
             for of, chosen in ((0, ~stops), (1, stops)):
                 held.append((np.array([[LOSS], [of], [0], [0]]), np.array([[loss[chosen].sum()], [w[chosen].sum()], [chosen.sum()]])))
             for t, tree in enumerate(now.growing):
-                rows = np.flatnonzero(~stops & (_mixed(hashes, now.salt + t) < now.subsample))
+                if not now.open[t]:
+                    continue
+                drawn = _mixed(hashes, now.salt + t)
+                times = _poisson(drawn, now.subsample) if now.bootstrap else (drawn < now.subsample).astype(np.float64)
+                rows = np.flatnonzero(~stops & (times > 0))
                 places = _places(tree, bins[rows], now.numbers)
                 inside = np.isin(places, now.open[t])
                 rows, places = rows[inside], places[inside]
-                stats = np.array([g[rows], h[rows], np.ones(len(rows))])
+                many = times[rows]
+                stats = np.array([g[rows] * many, h[rows] * many, many])
+                nodes = np.sort(now.open[t])
+                if now.slots is not None and t not in chosen_slots:
+                    chosen_slots[t] = now.slots.chosen(now.salt, t, nodes.tolist())
                 for f in range(ALL, bins.shape[1]):
-                    own = np.zeros(len(rows), np.int64) if f == ALL else bins[rows, f]
-                    held.append(_merged([(np.array([np.full(len(rows), t), places, np.full(len(rows), f), own]), stats)]))
-                    size += held[-1][0].shape[1]
+                    own, at, part = np.zeros(len(rows), np.int64) if f == ALL else bins[rows, f], places, stats
+                    if now.slots is not None and f != ALL:
+                        wanted = np.searchsorted(nodes, places) * now.slots.number + now.slots.starts[f] + own - 1
+                        found = np.searchsorted(chosen_slots[t], wanted)
+                        hit = chosen_slots[t][np.minimum(found, len(chosen_slots[t]) - 1)] == wanted
+                        own, at, part = own[hit], places[hit], stats[:, hit]
+                    if len(own):
+                        held.append(_merged([(np.array([np.full(len(own), t), at, np.full(len(own), f), own]), part)]))
+                        size += held[-1][0].shape[1]
             if size > merged + SUMS:
                 held = [_merged(held)]
                 size = merged = held[0][0].shape[1]
@@ -368,54 +415,64 @@ def fit_boosted(
         F.lit(0.0).alias("margin"),
     )
     rows = materialize(rows, "boosting_rows")
-    spark, numbers = df.sparkSession, len(numeric)
-    features = len(model.features)
-    columns = None if columns_per_node >= 1 else max(1, round(columns_per_node * features))
+    numbers, decides = len(numeric), 0 if stops is None else 1
+    columns = None if columns_per_node >= 1 else max(1, round(columns_per_node * len(model.features)))
     for i in range(max_iter):
         done = [t for r in model.trees[i - i % FLUSH :] for t in r]
         if i and i % FLUSH == 0:
             rows = materialize(_advanced(rows, [t for r in model.trees[i - FLUSH :] for t in r], numbers), "boosting_rows")
             done = []
-        trees: list[Tree] = [{} for _ in range(trees_per_round)]
-        opened = [[1] for _ in trees]
-        for depth in range(max_depth):
-            state = spark.sparkContext.broadcast(_Round(done, trees, opened, numbers, subsample, seed + 7919 * i))
-            parts = rows.mapInArrow(_sums(state), SUMS_SCHEMA)
-            sums = parts.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(v).alias(v) for v in "ghn"]).persist()  # read several times
-            few = sums.filter((F.col("feature") == ALL) | (F.col("bin") == 0)).collect()  # for open nodes and their features
-            if depth == 0:
-                losses = {r["node"]: r["g"] / r["h"] for r in few if r["tree"] == LOSS and r["h"]}
-                model.losses.append(losses.get(1 if stops is not None else 0, 0.0))
-                if i and min_rel_progress and model.losses[-2] - model.losses[-1] < min_rel_progress * abs(model.losses[-2]):
-                    sums.unpersist()
-                    return model
-            totals = [r for r in few if r["feature"] == ALL]
-            missing = [r for r in few if r["tree"] != LOSS and r["feature"] != ALL]
-            cuts = best_cuts(sums, totals, missing, numbers, l1, l2, min_child_weight, columns, seed + i)
-            found = {(r["tree"], r["node"]): r["best"] for r in cuts.collect()}  # a row for each open node
-            sums.unpersist()
-            opened = [[] for _ in trees]
-            for r in totals:
-                tree, node = trees[r["tree"]], r["node"]
-                if node == 1:
-                    tree[1] = _node(r["g"], r["h"], r["n"], l1, l2, learn_rate / trees_per_round)
-                best = found.get((r["tree"], node))
-                if best is None:
-                    continue
-                parent = tree[node]
-                parent.feature, parent.bin, parent.missing_left, parent.gain = -best["f"], -best["b"], not best["r"], best["gain"]
-                tree[2 * node] = _node(best["g"], best["h"], best["n"], l1, l2, learn_rate / trees_per_round)
-                rest = (r["g"] - best["g"], r["h"] - best["h"], r["n"] - best["n"])
-                tree[2 * node + 1] = _node(*rest, l1, l2, learn_rate / trees_per_round)
-                opened[r["tree"]] += [2 * node, 2 * node + 1]
-            if not any(opened):
-                break
-        if not any(trees):  # no rows
+        state = _Round(done, [{} for _ in range(trees_per_round)], [[1] for _ in range(trees_per_round)], numbers, subsample, seed + 7919 * i)
+
+        def goes_on(losses: dict[int, float]) -> bool:
+            model.losses.append(losses.get(decides, 0.0))
+            return not (i and min_rel_progress and model.losses[-2] - model.losses[-1] < min_rel_progress * abs(model.losses[-2]))
+
+        trees = _grown(rows, state, max_depth, l1, l2, min_child_weight, learn_rate / trees_per_round, columns, seed + i, goes_on)
+        if trees is None or not any(trees):  # no progress, or no rows
             return model
         model.trees.append([t or {1: Node(0.0, 0.0, 0, 0.0)} for t in trees])  # a sample may be empty
     return model
 
 
+def _grown(
+    rows: DataFrame, now: _Round, max_depth: int, l1: float, l2: float, min_child_weight: float, rate: float, columns: int | None, seed: int,
+    goes_on: Callable[[dict[int, float]], bool],
+) -> list[Tree] | None:
+    """The trees of a round, level by level; none if ``goes_on`` says no to the mean losses by ``stops`` (0 and 1) before it."""
+    trees, opened = now.growing, now.open
+    for depth in range(max_depth):
+        state = rows.sparkSession.sparkContext.broadcast(replace(now, open=opened))
+        parts = rows.mapInArrow(_sums(state), SUMS_SCHEMA)
+        sums = parts.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(v).alias(v) for v in "ghn"]).persist()  # read several times
+        few = sums.filter((F.col("feature") == ALL) | (F.col("bin") == 0)).collect()  # for open nodes and their features
+        if depth == 0 and not goes_on({r["node"]: r["g"] / r["h"] for r in few if r["tree"] == LOSS and r["h"]}):
+            sums.unpersist()
+            return None
+        totals = [r for r in few if r["feature"] == ALL]
+        missing = [r for r in few if r["tree"] != LOSS and r["feature"] != ALL]
+        cuts = best_cuts(sums, totals, missing, now.numbers, l1, l2, min_child_weight, columns, seed)
+        found = {(r["tree"], r["node"]): r["best"] for r in cuts.collect()}  # a row for each open node
+        sums.unpersist()
+        opened = [[] for _ in trees]
+        for r in totals:
+            tree, node = trees[r["tree"]], r["node"]
+            if node == 1:
+                tree[1] = _node(r["g"], r["h"], r["n"], l1, l2, rate)
+            best = found.get((r["tree"], node))
+            if best is None:
+                continue
+            parent = tree[node]
+            parent.feature, parent.bin, parent.missing_left, parent.gain = -best["f"], -best["b"], not best["r"], best["gain"]
+            tree[2 * node] = _node(best["g"], best["h"], best["n"], l1, l2, rate)
+            rest = (r["g"] - best["g"], r["h"] - best["h"], r["n"] - best["n"])
+            tree[2 * node + 1] = _node(*rest, l1, l2, rate)
+            opened[r["tree"]] += [2 * node, 2 * node + 1]
+        if not any(opened):
+            break
+    return trees
+
+
 def _node(g: float, h: float, n: int, l1: float, l2: float, rate: float) -> Node:
     shrunk = np.sign(g) * max(abs(g) - l1, 0.0)
     return Node(g, h, n, float(-rate * shrunk / (h + l2)) if h + l2 > 0 else 0.0)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablejobs.models import metrics, training
+from tablejobs.models.category_trees import fit_boosting, fit_forest
 from tablejobs.models.features import TripFeatures, trip_columns
 from tablejobs.operators import hash_split
 from tablejobs.plans.hires import trip_type
@@ -81,3 +82,20 @@ def fit_trip_type(
         count_rows=count_rows,
     )
     return model, training.score(model, split.filter("is_eval"))
+
+
+def _trip_split(rows: DataFrame, eval_fraction: float, version: str, seed: str) -> tuple[DataFrame, DataFrame]:
+    split = TripFeatures(version).transform(hash_split(rows, "hire_id", eval_fraction, seed))
+    return split.filter(~F.col("is_eval")), split.filter("is_eval")
+
+
+def forest_trip_type(rows: DataFrame, eval_fraction: float = 0.9, version: str = "geo", seed: str = "trip") -> DataFrame:
+    """The held-out hires with the score of a forest, as ``fit_trip_type`` with any number of places."""
+    train, held_out = _trip_split(rows, eval_fraction, version, seed)
+    return fit_forest(train, "is_long", "hire_id", list(trip_columns(version))).transform(held_out)
+
+
+def boosted_trip_type(rows: DataFrame, stops: str, eval_fraction: float = 0.9, version: str = "geo", seed: str = "trip") -> DataFrame:
+    """The same with boosted trees; rows marked in ``stops`` decide when they end."""
+    train, held_out = _trip_split(rows, eval_fraction, version, seed)
+    return fit_boosting(train, "is_long", "hire_id", list(trip_columns(version)), stops).transform(held_out)

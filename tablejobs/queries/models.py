@@ -503,7 +503,7 @@ def boosted_tree_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("forest_fit")
 def forest_fit(spark: SparkSession, sf: str) -> DataFrame:
-    _, held_out = scoring.fit_trip_type(_trips(spark, sf), training.forest())
+    held_out = scoring.forest_trip_type(_trips(spark, sf))
     return metrics.evaluate_classification(held_out, "is_long", "score", 0.127)
 
 
