@@ -515,8 +515,8 @@ def trip_type_model(spark: SparkSession, sf: str) -> DataFrame:
     runs = {
         "logistic": scoring.fit_trip_type(trips, training.logistic(0.001, 0.001, 20, standardize=False), count_rows=True)[1],
         "logistic_penalised": scoring.fit_trip_type(trips, training.logistic(0.01, 0.01, 20, standardize=False), count_rows=True)[1],
-        "boosted": scoring.fit_trip_type(stopped, training.boosted_trees(validation="stops"), extra=["stops"])[1],
-        "forest": scoring.fit_trip_type(trips, training.forest())[1],
+        "boosted": scoring.boosted_trip_type(stopped, "stops"),
+        "forest": scoring.forest_trip_type(trips),
     }
     result = None
     for name, held_out in runs.items():
