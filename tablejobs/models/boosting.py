@@ -227,6 +227,20 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[:, first], np.add.reduceat(values, first, axis=1) if len(first) else values
 
 
+def _by_bin(nodes: np.ndarray, bins: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (node, bin) and the sums of their ``values``; counted where there are few pairs, otherwise sorted."""
+    width = int(bins.max()) + 1
+    pairs = nodes * width + bins
+    low = int(pairs.min())
+    if int(pairs.max()) - low < 4 * len(pairs) + 1024:
+        used = np.flatnonzero(np.bincount(pairs - low))
+        found, sums = used + low, np.array([np.bincount(pairs - low, weights=v)[used] for v in values])
+    else:
+        found, place = np.unique(pairs, return_inverse=True)
+        sums = np.array([np.bincount(place, weights=v) for v in values])
+    return found // width, found % width, sums
+
+
 def _sums(state) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(tree, node, feature, bin, g, h, n) of the task's rows, only for bins with rows; a bin may come several times."""
 
@@ -269,8 +283,9 @@ def _sums(state) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
                         hit = chosen_slots[t][np.minimum(found, len(chosen_slots[t]) - 1)] == wanted
                         own, at, part = own[hit], places[hit], stats[:, hit]
                     if len(own):
-                        held.append(_merged([(np.array([np.full(len(own), t), at, np.full(len(own), f), own]), part)]))
-                        size += held[-1][0].shape[1]
+                        node, own, part = _by_bin(at, own, part)
+                        held.append((np.array([np.full(len(own), t), node, np.full(len(own), f), own]), part))
+                        size += len(own)
             if size > merged + SUMS:
                 held = [_merged(held)]
                 size = merged = held[0][0].shape[1]
