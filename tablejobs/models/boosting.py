@@ -31,6 +31,7 @@ HASH_BINS = 4096  # for the values of hashed columns
 BROADCAST_BYTES = 16_000_000  # of the categories of a column, counted; larger tables are joined by shuffle
 ROW_BYTES = 64  # of a category in a hash table, besides its text
 SUMS = 1 << 20  # that a task gathers before it hands them on
+SUMS_PER_TASK = 1 << 18  # that a task of the next step receives
 FLUSH = 10  # rounds after which the margins are written, so that tasks walk few trees
 SPLITS_SCHEMA = (
     "round int, tree int, node int, feature string, cut double, category string, missing_left boolean, gain double, cover double, "
@@ -180,6 +181,18 @@ class _Round:
     loss: str = "log"
     bootstrap: bool = False  # a row comes as often as a Poisson number says
     slots: _Slots | None = None  # features of one category each, of which a node tries some
+    features: int = 1
+    width: int = 0  # bins of all features
+
+    def partitions(self, opened: Sequence[Sequence[int]], tasks: int, most: int) -> int:
+        """Into how many partitions, up to ``most``, the sums of ``opened`` go: as many as what ``tasks`` tasks hand on at most needs."""
+        tried = self.width if self.slots is None else min(self.width, self.slots.tried)
+        handed = 0
+        for tree, nodes in zip(self.growing, opened):
+            for i in nodes:
+                given = tasks * (tried + 1)
+                handed += min(given, tree[i].rows * (self.features + 1)) if i in tree else given  # nobody has counted the rows of a root
+        return max(1, min(most, 1 + handed // SUMS_PER_TASK))
 
 
 @dataclass
@@ -431,13 +444,15 @@ def fit_boosted(
     )
     rows = materialize(rows, "boosting_rows")
     numbers, decides = len(numeric), 0 if stops is None else 1
+    bins = [len(model.cuts[c]) + 1 for c in numeric] + [sizes[c][0] if c in sizes else HASH_BINS for c in categorical]
+    width = sum(bins) + len(bins)  # a bin of each feature for what is missing
     columns = None if columns_per_node >= 1 else max(1, round(columns_per_node * len(model.features)))
     for i in range(max_iter):
         done = [t for r in model.trees[i - i % FLUSH :] for t in r]
         if i and i % FLUSH == 0:
             rows = materialize(_advanced(rows, [t for r in model.trees[i - FLUSH :] for t in r], numbers), "boosting_rows")
             done = []
-        state = _Round(done, [{} for _ in range(trees_per_round)], [[1] for _ in range(trees_per_round)], numbers, subsample, seed + 7919 * i)
+        state = _Round(done, [{} for _ in range(trees_per_round)], [[1] for _ in range(trees_per_round)], numbers, subsample, seed + 7919 * i, features=len(bins), width=width)
 
         def goes_on(losses: dict[int, float]) -> bool:
             model.losses.append(losses.get(decides, 0.0))
@@ -454,12 +469,18 @@ def _grown(
     rows: DataFrame, now: _Round, max_depth: int, l1: float, l2: float, min_child_weight: float, rate: float, columns: int | None, seed: int,
     goes_on: Callable[[dict[int, float]], bool],
 ) -> list[Tree] | None:
-    """The trees of a round, level by level; none if ``goes_on`` says no to the mean losses by ``stops`` (0 and 1) before it."""
+    """The trees of a round, level by level; none if ``goes_on`` says no to the mean losses by ``stops`` (0 and 1) before it.
+
+    A level has few sums beside the rows, and several short steps read them: their partitions follow them, not the session's number.
+    """
     trees, opened = now.growing, now.open
+    tasks, most = rows.rdd.getNumPartitions(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for depth in range(max_depth):
         state = rows.sparkSession.sparkContext.broadcast(replace(now, open=opened))
         parts = rows.mapInArrow(_sums(state), SUMS_SCHEMA)
-        sums = parts.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(v).alias(v) for v in "ghn"]).persist()  # read several times
+        bin_of = ["tree", "node", "feature", "bin"]
+        dealt = parts.repartition(now.partitions(opened, tasks, most), *bin_of)
+        sums = dealt.groupBy(*bin_of).agg(*[F.sum(v).alias(v) for v in "ghn"]).persist()  # read several times
         few = sums.filter((F.col("feature") == ALL) | (F.col("bin") == 0)).collect()  # for open nodes and their features
         if depth == 0 and not goes_on({r["node"]: r["g"] / r["h"] for r in few if r["tree"] == LOSS and r["h"]}):
             sums.unpersist()

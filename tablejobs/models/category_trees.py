@@ -93,7 +93,7 @@ def fit_forest(
     starts = np.cumsum([0, *[n + 1 for n in model.counts]])
     number = int(starts[-1])
     slots = None if all_slots else _Slots(starts[:-1], number, math.ceil(math.sqrt(number)))
-    now = _Round([], [{} for _ in range(trees)], [[1] for _ in range(trees)], 0, subsample, seed, "share", bootstrap, slots)
+    now = _Round([], [{} for _ in range(trees)], [[1] for _ in range(trees)], 0, subsample, seed, "share", bootstrap, slots, len(columns), number)
     model.trees = [t for t in _grown(rows, now, max_depth, 0.0, 0.0, min_rows, 1.0 / trees, None, seed, lambda _: True) if t]
     for tree in model.trees:
         _merge_leaves(tree, 1.0 / trees)
@@ -117,6 +117,7 @@ def fit_boosting(
     """Boosted trees that end when the loss of the rows marked in ``stops`` falls by less than ``tolerance`` of itself."""
     model, rows = _prepared(df, label, key, columns, stops, seed)
     best, kept = math.nan, 1
+    width = sum(model.counts) + len(columns)
     for i in range(max_iter + 1):
         done = model.trees[i - i % FLUSH :]
         if i and i % FLUSH == 0:
@@ -128,7 +129,7 @@ def fit_boosting(
             falls = i < 2 or best - seen[0] >= tolerance * max(seen[0], 0.01)
             return falls and i < max_iter
 
-        now = _Round(done, [{}], [[1]], 0, subsample, seed + 7919 * i, "residual" if i else "target")
+        now = _Round(done, [{}], [[1]], 0, subsample, seed + 7919 * i, "residual" if i else "target", features=len(columns), width=width)
         found = _grown(rows, now, max_depth, 0.0, 0.0, min_rows, learn_rate if i else 1.0, None, seed + i, goes_on)
         if i == 1:
             best = seen[0]

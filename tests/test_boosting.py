@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablejobs.models import metrics
-from tablejobs.models.boosting import Node, fit_boosted
+from tablejobs.models import boosting, metrics
+from tablejobs.models.boosting import Node, _Round, fit_boosted
 
 
 def score(g, h, l1, l2):
@@ -156,3 +156,30 @@ def test_columns_with_many_categories(spark):
     assert names and names <= {"k0", "k1", "k2"}
     scored = {r["id"]: r["score"] for r in model.transform(df.filter("id < 12")).collect()}
     assert scored[2] > 0.8 and scored[9] > 0.8 and scored[11] < 0.5
+
+
+def test_partitions_follow_the_sums(spark, monkeypatch):
+    df, parts, cut = frame(spark, data()), [], boosting.best_cuts
+
+    def counted(sums, *args):
+        parts.append(sums.rdd.getNumPartitions())
+        return cut(sums, *args)
+
+    monkeypatch.setattr(boosting, "best_cuts", counted)
+    options = {"numeric": ["a", "b"], "categorical": ["c"], "max_iter": 2, "max_depth": 3, "l2": 1.0, "min_rel_progress": 0.0}
+    few = fit_boosted(df, "y", "id", **options).trees
+    assert len(parts) > 4 and set(parts) == {1}  # some hundred sums; were as many as the session's shuffle partitions
+    parts.clear()
+    monkeypatch.setattr(boosting, "SUMS_PER_TASK", 8)
+    many = fit_boosted(df, "y", "id", **options).trees
+    assert 1 < max(parts) <= 8
+    shape = lambda trees: [{i: (n.feature, n.bin, n.missing_left, n.rows) for i, n in t.items()} for r in trees for t in r]
+    assert shape(few) == shape(many)
+
+
+def test_partitions_of_many_sums():
+    now = _Round([], [{2: Node(0, 0, 1000, 0), 3: Node(0, 0, 10**9, 0)}], [[2, 3]], 0, 1.0, 0, features=3, width=10**7)
+    assert now.partitions([[2]], 100, 200) == 1  # no more than one sum for each row and feature
+    assert now.partitions([[3]], 100, 10**6) == 1 + 100 * (10**7 + 1) // boosting.SUMS_PER_TASK
+    assert now.partitions([[2, 3]], 100, 200) == 200 and now.partitions([[]], 100, 200) == 1
+    assert now.partitions([[1]], 1, 200) == 1 + (10**7 + 1) // boosting.SUMS_PER_TASK  # a root
